@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 
 def token_sorted(value) -> Column:
@@ -23,7 +23,7 @@ def _codes(texts: list[str]) -> np.ndarray:
     return out
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def lcs_length(a: pd.Series, b: pd.Series) -> pd.Series:
     """Length of the longest common subsequence, one table row at a time for a whole batch."""
     left, right = _codes(a.tolist()), _codes(b.tolist())

@@ -38,3 +38,14 @@ def split_hot(
         df.join(F.broadcast(hot), same, "left_anti"),
         df.join(F.broadcast(hot), same, "left_semi"),
     )
+
+
+def settle_small(df: DataFrame, max_rows: int = 50_000) -> DataFrame:
+    """A fitted table brought in once and marked for broadcast, if it has few enough rows.
+
+    A larger table is returned as it is, to be joined by shuffle.
+    """
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))

@@ -63,8 +63,158 @@ means AS (SELECT city AS mcity, CAST(sum(cents) AS DOUBLE)/count(*)/100 AS ca, a
 card AS (SELECT * FROM lagged JOIN means ON city = mcity)"""
 
 
+
+# category dictionary: part names by their second word, only those with an even smallest key
+GAZ = """names AS (SELECT p_name AS job, min(p_partkey) AS first_key FROM part GROUP BY p_name),
+listed AS (SELECT split_part(job, ' ', 2) AS category, job FROM names WHERE first_key % 2 = 0),
+gaz AS (SELECT category, job, dense_rank() OVER (ORDER BY category) - 1 AS cat_ord,
+               row_number() OVER (PARTITION BY category ORDER BY job) - 1 AS job_ord FROM listed),
+jobcat AS (SELECT job AS gjob, category AS gcat FROM gaz QUALIFY row_number() OVER (PARTITION BY job ORDER BY cat_ord) = 1)"""
+
+# US federal holidays with observed days, built day by day
+HOLIDAYS = """years AS (SELECT CAST(range AS INTEGER) AS y FROM range(1980, 2031)),
+fixed AS (SELECT make_date(y, m, d) AS h FROM years, (VALUES (1,1,1870),(6,19,2021),(7,4,1870),(11,11,1978),(12,25,1870)) v(m,d,since) WHERE y >= since),
+shifted AS (SELECT h FROM fixed UNION SELECT h - 1 FROM fixed WHERE isodow(h) = 6 UNION SELECT h + 1 FROM fixed WHERE isodow(h) = 7),
+cal AS (SELECT CAST(range AS DATE) AS d FROM range(DATE '1980-01-01', DATE '2031-01-01', INTERVAL 1 DAY)),
+ranked AS (SELECT d, month(d) AS m, isodow(d) AS wd, year(d) AS y,
+                  row_number() OVER (PARTITION BY year(d), month(d), isodow(d) ORDER BY d) AS nth,
+                  row_number() OVER (PARTITION BY year(d), month(d), isodow(d) ORDER BY d DESC) AS back FROM cal),
+floating AS (SELECT d AS h FROM ranked WHERE (m=1 AND wd=1 AND nth=3 AND y>=1986) OR (m=2 AND wd=1 AND nth=3)
+             OR (m=5 AND wd=1 AND back=1) OR (m=9 AND wd=1 AND nth=1) OR (m=10 AND wd=1 AND nth=2) OR (m=11 AND wd=4 AND nth=4)),
+hol AS (SELECT h FROM shifted UNION SELECT h FROM floating)"""
+
+AGE = "CAST(floor((trans_date - dob)/365.0) AS BIGINT)"
+
+
+def _age_label(names) -> str:
+    a, b, c, d = names
+    return (
+        f"CASE WHEN {AGE} > 0 AND {AGE} <= 25 THEN {a} WHEN {AGE} > 25 AND {AGE} <= 45 THEN {b} "
+        f"WHEN {AGE} > 45 AND {AGE} <= 65 THEN {c} WHEN {AGE} > 65 THEN {d} END"
+    )
+
+
+AGE_NAME = _age_label(("'under 25'", "'25-45'", "'45-65'", "'65+'"))
+AGE_CODE = _age_label((1, 0, 2, 3))
+
+
+def _curve(source: str = "tx", keys: str = "") -> str:
+    """Counts above each distinct score, per group."""
+    part = f"PARTITION BY {keys.rstrip(', ')}" if keys else ""
+    tail = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    return f"""c0 AS (SELECT {keys} score, count(*) AS n, sum(is_fraud) AS p FROM {source} GROUP BY {keys} score),
+curve AS (SELECT *, coalesce(sum(n) OVER ({part} ORDER BY score DESC {tail}), 0) AS nu,
+                 coalesce(sum(p) OVER ({part} ORDER BY score DESC {tail}), 0) AS pu FROM c0)"""
+
+
+AUC = "sum(CAST(n-p AS DOUBLE)*(pu+p/2.0)) / (sum(p)*CAST(sum(n-p) AS DOUBLE))"
+AP = "sum(p*CAST(pu+p AS DOUBLE)/(nu+n)) / sum(p)"
+PRAUC = "sum(p*(CAST(pu+p AS DOUBLE)/(nu+n) + CASE WHEN nu = 0 THEN 1.0 ELSE CAST(pu AS DOUBLE)/nu END)/2) / sum(p)"
+F1 = """coalesce(2.0*coalesce(sum(CASE WHEN score > 0.5 AND score < 1.5 THEN p END),0)
+ / nullif(coalesce(sum(CASE WHEN score > 0.5 AND score < 1.5 THEN n END),0) + sum(p),0), 0.0)"""
+
+
+def _top(k: str) -> str:
+    return f"""r AS (SELECT trans_date, trans_num, is_fraud, row_number() OVER (PARTITION BY trans_date ORDER BY score DESC, trans_num) AS rk,
+             sum(is_fraud) OVER (PARTITION BY trans_date) AS nf FROM tx),
+d AS (SELECT trans_date, CAST(max(nf) AS BIGINT) AS n_fraud, CAST(coalesce(sum(CASE WHEN rk <= {k} THEN is_fraud END),0) AS BIGINT) AS n_detected
+      FROM r GROUP BY trans_date)"""
+
+
+def _even(x: str, digits: int) -> str:
+    """Round half to even."""
+    return f"round_even({x}, {digits})"
+
+
+FOLDS = f"""ft AS (SELECT *, CAST(year(ts) AS INTEGER) AS fold, CASE WHEN trans_num % 2 = 0 THEN 'val' ELSE 'train' END AS dataset FROM tx),
+{_curve('ft', 'fold, dataset, ')},
+w AS (SELECT fold, dataset, {AUC} AS auc_roc, {AP} AS average_precision, {F1} AS f1_score FROM curve GROUP BY fold, dataset),
+folds AS (SELECT fold, dataset, 'auc_roc' AS metric, auc_roc AS value FROM w UNION ALL
+          SELECT fold, dataset, 'average_precision', average_precision FROM w UNION ALL SELECT fold, dataset, 'f1_score', f1_score FROM w)"""
+
+MANIFEST = f"""span AS (SELECT min(us) AS a, max(us) AS b FROM tx),
+pts AS (SELECT a, b, CAST(unnest(range(0, 1 + (b-a)//(90*{DAY}))) AS INTEGER) AS split_id FROM span),
+bounds AS (SELECT split_id, a + split_id*90*{DAY} AS point_us, greatest(a + split_id*90*{DAY} - 90*{DAY}, a) AS train_start_us,
+            a + split_id*90*{DAY} - {DAY} AS train_end_us, a + split_id*90*{DAY} + 31*{DAY} AS val_start_us,
+            least(a + split_id*90*{DAY} + 121*{DAY}, b) AS val_end_us FROM pts),
+man AS (SELECT *, CASE WHEN floor((train_end_us-train_start_us)/CAST({DAY} AS DOUBLE)) + 1 < 90 THEN 'short training'
+                       WHEN floor((val_end_us-val_start_us)/CAST({DAY} AS DOUBLE)) + 1 < 90 THEN 'short validation'
+                       WHEN train_start_us >= train_end_us OR val_start_us >= val_end_us THEN 'empty side' END AS reason FROM bounds)"""
+
+# longest common subsequence row by row: one step per character of the first text
+FUZZY = """un AS (SELECT DISTINCT job FROM tx WHERE job NOT IN (SELECT job FROM gaz)),
+k1 AS (SELECT job, array_to_string(list_sort(string_split(job, ' ')), ' ') AS a FROM un),
+k2 AS (SELECT category, cat_ord, job AS match, job_ord, array_to_string(list_sort(string_split(job, ' ')), ' ') AS b FROM gaz),
+lcs(job, match, category, cat_ord, job_ord, a, b, i, prev) AS (
+  SELECT job, match, category, cat_ord, job_ord, a, b, 0, [0 for j in range(0, length(b)+1)] FROM k1, k2
+  UNION ALL
+  SELECT job, match, category, cat_ord, job_ord, a, b, i+1,
+         list_prepend(0, [list_max([CASE WHEN a[i+1] = b[k] THEN prev[k]+1 ELSE prev[k+1] END for k in range(1, j+1)]) for j in range(1, length(b)+1)])
+  FROM lcs WHERE i < length(a)),
+sc AS (SELECT job, match, category, 200.0*prev[length(b)+1]/(length(a)+length(b)) AS score, cat_ord, job_ord FROM lcs WHERE i = length(a)),
+best AS (SELECT * FROM sc WHERE score >= 70 QUALIFY row_number() OVER (PARTITION BY job ORDER BY score DESC, cat_ord, job_ord) = 1),
+fuzzy AS (SELECT un.job, coalesce(category, 'Other') AS category, match, round(CAST(score AS DOUBLE), 6) AS score FROM un LEFT JOIN best ON un.job = best.job)"""
+
+
+def _quantile_rows(column: str, ps, label: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT CAST({p} AS DOUBLE) AS probability, round(quantile_cont(CAST({column} AS DOUBLE), {p}),6) AS quantile, '{label}' AS column_name FROM tx"
+        for p in ps
+    )
+
+
+def _corr_rows() -> str:
+    cols = ("amt", "lat", "long", "city_pop", "merch_lat", "merch_long", "is_fraud")
+    return " UNION ALL ".join(
+        f"SELECT '{a}' AS a, '{b}' AS b, round(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)),6) AS r FROM tx"
+        for a in cols
+        for b in cols
+    )
+
+
+def _profile_rows() -> str:
+    out = []
+    for c in ("cc_num", "merchant", "category", "gender", "city_pop", "amt", "is_fraud"):
+        stats = {"count": f"count({c})", "missing": f"count(*)-count({c})", "distinct": f"count(DISTINCT {c})"}
+        if c not in ("merchant", "category", "gender"):
+            x = f"CAST({c} AS DOUBLE)"
+            stats |= {"mean": f"avg({x})", "std": f"stddev_samp({x})", "min": f"min({x})", "max": f"max({x})"}
+        out += [
+            f"SELECT '{c}' AS column_name, '{s}' AS stat, round(CAST({e} AS DOUBLE),4) AS value FROM holed" for s, e in stats.items()
+        ]
+    return " UNION ALL ".join(out)
+
+
+def _rates(dims: dict[str, str], source: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{d}' AS dimension, CAST({e} AS VARCHAR) AS value, count(*) AS n, "
+        f"round(count(*)/(SELECT CAST(count(*) AS DOUBLE) FROM {source}),9) AS share, round(avg(is_fraud),9) AS fraud_rate FROM {source} GROUP BY 1, 2"
+        for d, e in dims.items()
+    )
+
+
+_HIST = "h0 AS (SELECT ln(CAST(amt AS DOUBLE)+1) AS x FROM tx), hb AS (SELECT min(x) AS lo, (max(x)-min(x))/30 AS w FROM h0)"
+
 ORACLE = {
+    "load_summary": f"WITH {TX} SELECT count(*) AS n_transactions, CAST(sum(is_fraud) AS BIGINT) AS n_fraud FROM tx",
+    "label_split_counts": f"WITH {TX} SELECT is_fraud, count(*) AS n FROM tx GROUP BY is_fraud",
+    "filter_points": f"WITH {TX} SELECT trans_num, merchant, merch_lat, merch_long, city, state FROM tx WHERE city = 'C7' AND is_fraud = 1",
+    "drop_null_subset": f"WITH {TX} SELECT trans_num, CAST(amt AS DOUBLE) AS amt, is_fraud FROM tx WHERE trans_num % 13 <> 0 AND trans_num % 17 <> 0",
+    "fill_with_zero": f"""WITH {TX} SELECT trans_num, CASE WHEN trans_num % 13 = 0 THEN 0 ELSE city_pop END AS city_pop,
+CASE WHEN trans_num % 17 <> 0 THEN merchant END AS merchant FROM tx""",
+    "fill_with_group_mean": f"""WITH {TX}, h AS (SELECT trans_num, city, CASE WHEN trans_num % 13 <> 0 THEN CAST(amt AS DOUBLE) END AS amt FROM tx)
+SELECT trans_num, city, round(coalesce(amt, avg(amt) OVER (PARTITION BY city)),6) AS amt FROM h""",
+    "fill_with_mean": f"""WITH {TX}, h AS (SELECT trans_num, CASE WHEN trans_num % 13 <> 0 THEN CAST(amt AS DOUBLE) END AS amt FROM tx)
+SELECT trans_num, round(coalesce(amt, (SELECT avg(amt) FROM h)),6) AS amt FROM h""",
+    "preview": f"WITH {TX} SELECT trans_num, cc_num, merchant, CAST(amt AS DOUBLE) AS amt FROM tx ORDER BY trans_num LIMIT 5",
+    "card_id_clean": f"WITH {TX} SELECT trans_num, CAST(cc_num AS VARCHAR) AS card_id FROM tx",
+    "time_slice": f"WITH {TX} SELECT trans_num, cc_num, us FROM tx WHERE ts BETWEEN TIMESTAMP '1996-01-01 12:00:00' AND TIMESTAMP '1996-06-30 12:00:00'",
+    "event_time_slice": """SELECT event_id AS trans_num, user_id AS cc_num, epoch_us(ts) AS us FROM events
+WHERE ts BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-12 12:00:00'""",
+    "threshold_class": f"WITH {TX} SELECT trans_num, CAST(score > 0.5 AS INTEGER) AS predicted, CAST(score > 0.25 AS INTEGER) AS predicted_strict FROM tx",
     "merchant_delayed_risk": f"WITH {TX} SELECT trans_num, {', '.join(_risk(w) for w in (1, 7, 30))} FROM tx",
+    "event_type_delayed_risk": f"""WITH tx AS (SELECT event_id AS trans_num, event_type AS merchant, epoch_us(ts) AS us,
+CASE WHEN (event_id % 100003)*7919 % 1000 < 20 THEN 1 ELSE 0 END AS is_fraud FROM events) SELECT trans_num, {', '.join(_risk(w, 2) for w in (1, 7))} FROM tx""",
     "card_rolling_amount": f"WITH {TX}, {GEO}, {_card_cte()} SELECT trans_num, "
     + ", ".join(
         f"round(CAST(ls{w} AS DOUBLE)/100,6) AS sum_amount_{w}_days, CAST(lc{w} AS BIGINT) AS count_amount_{w}_days, "
@@ -81,7 +231,153 @@ ORACLE = {
     )
     + " FROM card",
     "card_gap": f"""WITH {TX}, g AS (SELECT trans_num, (us - lag(us) OVER (PARTITION BY cc_num ORDER BY us))/1e6 AS gap FROM tx)
-SELECT trans_num, round(coalesce(gap, (SELECT avg(gap) FROM g)),6) AS inter_transaction_time_7_days FROM g""",
+SELECT trans_num, round(coalesce(gap, (SELECT avg(gap) FROM g)),4) AS inter_transaction_time_7_days FROM g""",
     "card_daily_count": f"""WITH {TX} SELECT trans_num,
 CAST(count(*) OVER (PARTITION BY cc_num, trans_date) AS BIGINT) AS daily_trans_count FROM tx""",
+    "sparsity": f"""WITH {TX}, nd AS (SELECT count(DISTINCT trans_date) AS d FROM tx)
+SELECT trans_num, round(CAST(d AS DOUBLE)/count(*) OVER (PARTITION BY cc_num),9) AS card_count_sparsity,
+round(CAST(d AS DOUBLE)*100/CAST(sum(cents) OVER (PARTITION BY cc_num) AS DOUBLE),9) AS card_amount_sparsity,
+round(CAST(d AS DOUBLE)/count(*) OVER (PARTITION BY merchant),9) AS merchant_count_sparsity,
+round(CAST(d AS DOUBLE)*100/CAST(sum(cents) OVER (PARTITION BY merchant) AS DOUBLE),9) AS merchant_amount_sparsity FROM tx, nd""",
+    "sparsity_means": f"""WITH {TX}, nd AS (SELECT CAST(count(DISTINCT trans_date) AS DOUBLE) AS d FROM tx),
+c AS (SELECT count(*) AS n, CAST(sum(cents) AS DOUBLE)/100 AS s FROM tx GROUP BY cc_num), m AS (SELECT count(*) AS n, CAST(sum(cents) AS DOUBLE)/100 AS s FROM tx GROUP BY merchant)
+SELECT round((SELECT d FROM nd)/(SELECT avg(n) FROM c),9) AS card_count_sparsity, round((SELECT d FROM nd)/(SELECT avg(n) FROM m),9) AS merchant_count_sparsity,
+round((SELECT d FROM nd)/(SELECT avg(s) FROM c),9) AS card_amount_sparsity, round((SELECT d FROM nd)/(SELECT avg(s) FROM m),9) AS merchant_amount_sparsity""",
+    **{
+        name: f"""WITH {TX}, p AS (SELECT trans_num, lat, long, row_number() OVER (PARTITION BY lat, long ORDER BY trans_num) - 1 AS i,
+count(*) OVER (PARTITION BY lat, long) AS n FROM tx {where})
+SELECT trans_num, round(CASE WHEN n > 1 THEN lat + 0.001*sin(2*pi()*i/n) ELSE lat END,9) AS lat_adjusted,
+round(CASE WHEN n > 1 THEN long + 0.001*cos(2*pi()*i/n) ELSE long END,9) AS long_adjusted FROM p"""
+        for name, where in (("spread_points", "WHERE is_fraud = 1"), ("spread_all_points", ""))
+    },
+    "key_totals": f"""WITH {TX} SELECT 'cc_num' AS kind, CAST(cc_num AS VARCHAR) AS key, count(amt) AS n, round(CAST(sum(cents) AS DOUBLE)/100,2) AS total_amount FROM tx GROUP BY 1,2
+UNION ALL SELECT 'merchant', merchant, count(amt), round(CAST(sum(cents) AS DOUBLE)/100,2) FROM tx GROUP BY 1,2""",
+    "city_means": f"""WITH {TX}, {GEO} SELECT city, round(CAST(sum(cents) AS DOUBLE)/count(amt)/100,5) AS city_amount, round(avg(distance),5) AS city_distance FROM geo GROUP BY city""",
+    "distinct_counts": f"""WITH {TX} SELECT count(DISTINCT cc_num) AS n_cc_num, count(DISTINCT merchant) AS n_merchant, count(DISTINCT category) AS n_category,
+count(DISTINCT job) AS n_job, count(DISTINCT city) AS n_city FROM tx""",
+    **{
+        name: f"""WITH {TX}, t AS (SELECT trans_date, count(*) AS num_transactions FROM tx {where} GROUP BY trans_date),
+f AS (SELECT trans_date, count(*) AS a, count(DISTINCT cc_num) AS b FROM tx {where or 'WHERE true'} AND is_fraud = 1 GROUP BY trans_date)
+SELECT CAST(t.trans_date AS VARCHAR) AS trans_date, num_transactions, num_transactions/100 AS num_transactions_scaled,
+coalesce(a,0) AS num_fraud_transactions, coalesce(b,0) AS num_fraud_cards FROM t LEFT JOIN f ON t.trans_date = f.trans_date"""
+        for name, where in (("daily_fraud_stats", ""), ("daily_fraud_stats_card", "WHERE cc_num = 77"))
+    },
+    "value_counts": f"WITH {TX} SELECT job, count(*) AS n FROM tx GROUP BY job",
+    "top_cities": f"WITH {TX} SELECT city, count(*) AS n FROM tx GROUP BY city ORDER BY n DESC, city LIMIT 10",
+    "top_states": f"WITH {TX} SELECT state, count(*) AS n, count(*)/10 AS n_scaled FROM tx GROUP BY state ORDER BY n DESC, state LIMIT 10",
+    "rates_by_dimension": f"WITH {TX}, {GAZ}, j AS (SELECT *, coalesce(gcat, 'Other') AS job_category FROM tx LEFT JOIN jobcat ON job = gjob) "
+    + _rates(
+        {"day_of_week": "isodow(ts)-1", "hour": "hour(ts)", "gender": "gender", "job_category": "job_category", "category": "category"},
+        "j",
+    ),
+    "rate_by_age_group": f"""WITH {TX}, g AS (SELECT {AGE_NAME} AS age_group, is_fraud FROM tx)
+SELECT age_group, count(*) AS n, round(count(*)/(SELECT CAST(count(*) AS DOUBLE) FROM g),9) AS share, round(avg(is_fraud),9) AS fraud_rate FROM g GROUP BY age_group""",
+    "first_fraud": f"""WITH {TX}, f AS (SELECT cc_num, min(us) AS first_us FROM tx WHERE is_fraud = 1 GROUP BY cc_num)
+SELECT trans_num, first_us AS first_fraud_us FROM tx LEFT JOIN f ON tx.cc_num = f.cc_num""",
+    "active_after_fraud": f"""WITH {TX}, f AS (SELECT cc_num, min(us) AS first_us FROM tx WHERE is_fraud = 1 GROUP BY cc_num),
+a AS (SELECT DISTINCT tx.cc_num FROM tx JOIN f ON tx.cc_num = f.cc_num WHERE is_fraud = 0 AND us > first_us + 3*{DAY})
+SELECT (SELECT count(DISTINCT cc_num) FROM tx) AS n_cards, (SELECT count(*) FROM a) AS n_active,
+round(CAST((SELECT count(*) FROM a) AS DOUBLE)/(SELECT count(DISTINCT cc_num) FROM tx),9) AS active_share""",
+    "class_means": f"""WITH {TX}, {GEO} SELECT is_fraud, round(avg(CAST(amt AS DOUBLE)),4) AS mean_amount, round(avg(distance),4) AS mean_distance, round(avg(score),4) AS mean_score FROM geo GROUP BY is_fraud""",
+    "city_size": f"""WITH {TX}, q AS (SELECT quantile_cont(city_pop, 0.85) AS a, quantile_cont(city_pop, 0.99) AS b FROM tx)
+SELECT trans_num, city_pop, CASE WHEN city_pop > 0 AND city_pop <= a THEN 0 WHEN city_pop > a AND city_pop <= b THEN 1 WHEN city_pop > b THEN 2 END AS city_size,
+CASE WHEN city_pop > 0 AND city_pop <= 88735 THEN 0 WHEN city_pop > 88735 AND city_pop <= 1577385 THEN 1 WHEN city_pop > 1577385 THEN 2 END AS fixed_size FROM tx, q""",
+    "exact_quantiles": f"WITH {TX} "
+    + _quantile_rows("city_pop", (0.85, 0.99), "city_pop")
+    + " UNION ALL "
+    + _quantile_rows("amt", (0.25, 0.5, 0.75, 0.99), "amt"),
+    "imbalance": f"""WITH {TX} SELECT count(*) FILTER (is_fraud = 0) AS negatives, count(*) FILTER (is_fraud = 1) AS positives,
+round(CAST(count(*) FILTER (is_fraud = 0) AS DOUBLE)/count(*) FILTER (is_fraud = 1),6) AS imbalance_ratio FROM tx""",
+    "positive_weights": f"WITH {TX} SELECT trans_num, CASE WHEN is_fraud = 1 THEN 50e0 ELSE 1e0 END AS weight FROM tx",
+    "loss": f"WITH {TX} SELECT round(CAST(sum(cents) AS DOUBLE)/100,2) AS loss FROM tx WHERE is_fraud = 1 AND NOT score > 0.5",
+    "corr_matrix": f"WITH {TX} " + _corr_rows(),
+    "table_profile": f"WITH {TX}, holed AS (SELECT * REPLACE (CASE WHEN trans_num % 13 <> 0 THEN amt END AS amt) FROM tx) " + _profile_rows(),
+    "duplicate_rows": f"WITH {TX} SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT cc_num, merchant, category FROM tx)) AS n_duplicates FROM tx",
+    "histogram": f"""WITH {TX}, {_HIST} SELECT CAST(least(floor((x-lo)/w), 29) AS INTEGER) AS bin, round(min(lo + least(floor((x-lo)/w), 29)*w),6) AS bin_start, count(*) AS n
+FROM h0, hb GROUP BY 1""",
+    "box_stats": f"""WITH {TX}, g AS (SELECT {AGE_NAME} AS age_group, ln(CAST(amt AS DOUBLE)+1) AS x FROM tx),
+q AS (SELECT age_group, quantile_cont(x,0.25) AS q1, quantile_cont(x,0.5) AS median, quantile_cont(x,0.75) AS q3 FROM g WHERE age_group IS NOT NULL GROUP BY age_group)
+SELECT q.age_group, round(min(q1),6) AS q1, round(min(median),6) AS median, round(min(q3),6) AS q3,
+round(min(CASE WHEN x >= q1-1.5*(q3-q1) THEN x END),6) AS low_whisker, round(max(CASE WHEN x <= q3+1.5*(q3-q1) THEN x END),6) AS high_whisker, count(*) AS n
+FROM g JOIN q ON g.age_group = q.age_group GROUP BY q.age_group""",
+    "density2d": f"""WITH {TX}, g AS (SELECT CAST({AGE} AS DOUBLE) AS a, ln(CAST(amt AS DOUBLE)+1) AS x FROM tx),
+b AS (SELECT min(a) AS la, (max(a)-min(a))/20 AS wa, min(x) AS lx, (max(x)-min(x))/20 AS wx FROM g)
+SELECT CAST(least(floor((a-la)/wa),19) AS INTEGER) AS x_bin, CAST(least(floor((x-lx)/wx),19) AS INTEGER) AS y_bin, count(*) AS n FROM g, b GROUP BY 1, 2""",
+    "time_flags": f"""WITH {TX}, {HOLIDAYS} SELECT trans_num, CAST(trans_date AS VARCHAR) AS trans_date, CAST(hour(ts) AS INTEGER) AS transaction_hour,
+CAST(isodow(ts)-1 AS INTEGER) AS transaction_day_of_week, CASE WHEN trans_date IN (SELECT h FROM hol) THEN 1 ELSE 0 END AS is_holiday,
+CASE WHEN isodow(ts) >= 6 THEN 1 ELSE 0 END AS is_weekend, CASE WHEN hour(ts) >= 22 THEN 2 WHEN hour(ts) <= 3 THEN 1 ELSE 0 END AS is_high_risk_hour FROM tx""",
+    "age_groups": f"WITH {TX} SELECT trans_num, {AGE} AS age, {AGE_CODE} AS age_group FROM tx",
+    "log_scale": f"WITH {TX} SELECT trans_num, round(ln(CAST(amt AS DOUBLE)+1),6) AS scale_amt, round(ln(CAST(city_pop AS DOUBLE)+1),6) AS city_pop_scale FROM tx",
+    "geodesic": f"WITH {TX}, {GEO} SELECT trans_num, round(distance,5) AS distance FROM geo",
+    "months": f"WITH {TX} SELECT DISTINCT CAST(CAST(date_trunc('month', ts) AS DATE) AS VARCHAR) AS month FROM tx",
+    "label_encode": f"WITH {TX} SELECT trans_num, CAST(dense_rank() OVER (ORDER BY job) - 1 AS INTEGER) AS job_label FROM tx",
+    "ordinal_encode": f"""WITH {TX}, m AS (SELECT merchant AS v, dense_rank() OVER (ORDER BY merchant) - 1 AS code FROM (SELECT DISTINCT merchant FROM tx WHERE ts < TIMESTAMP '1995-02-01'))
+SELECT trans_num, coalesce(CAST(code AS DOUBLE), -1.0) AS merchant_encoded FROM tx LEFT JOIN m ON merchant = v""",
+    "encoder_mapping": f"WITH {TX} SELECT merchant AS value, row_number() OVER (ORDER BY merchant) - 1 AS code FROM (SELECT DISTINCT merchant FROM tx)",
+    "onehot": f"""WITH {TX} SELECT trans_num, CASE WHEN gender = 'M' THEN 1 ELSE 0 END AS gender_M, CASE WHEN category = 'LARGE' THEN 1 ELSE 0 END AS category_LARGE, CASE WHEN category = 'MEDIUM' THEN 1 ELSE 0 END AS category_MEDIUM, CASE WHEN category = 'PROMO' THEN 1 ELSE 0 END AS category_PROMO, CASE WHEN category = 'SMALL' THEN 1 ELSE 0 END AS category_SMALL, CASE WHEN category = 'STANDARD' THEN 1 ELSE 0 END AS category_STANDARD FROM tx""",
+    "categorize": f"WITH {TX}, {GAZ} SELECT trans_num, coalesce(gcat, 'Other') AS job_category FROM tx LEFT JOIN jobcat ON job = gjob",
+    "unseen_values": f"WITH {TX}, {GAZ} SELECT DISTINCT job FROM tx WHERE job NOT IN (SELECT job FROM gaz)",
+    "fuzzy_match": f"WITH RECURSIVE {TX}, {GAZ}, {FUZZY} SELECT * FROM fuzzy",
+    "updated_gazetteer": f"WITH RECURSIVE {TX}, {GAZ}, {FUZZY} SELECT category, job FROM gaz UNION ALL SELECT category, job FROM fuzzy",
+    "train_risk_enrich": f"""WITH {TX}, tr AS (SELECT merchant, lat, long, us, trans_num, {', '.join(_risk(w) for w in (7, 30))} FROM (SELECT * FROM tx WHERE ts < TIMESTAMP '1999-01-01')),
+last AS (SELECT * FROM tr QUALIFY row_number() OVER (PARTITION BY merchant, lat, long ORDER BY us DESC, trans_num DESC) = 1)
+SELECT t.trans_num, coalesce(l.merchant_risk_7_day_window, 0) AS merchant_risk_7_day_window, coalesce(l.merchant_risk_30_day_window, 0) AS merchant_risk_30_day_window
+FROM (SELECT * FROM tx WHERE ts >= TIMESTAMP '1999-01-01') t LEFT JOIN last l ON t.merchant = l.merchant AND t.lat = l.lat AND t.long = l.long""",
+    "feature_table": f"""WITH {TX}, {GAZ}, {HOLIDAYS}, {GEO},
+jc AS (SELECT geo.*, coalesce(gcat, 'Other') AS job_category FROM geo LEFT JOIN jobcat ON job = gjob),
+q AS (SELECT quantile_cont(city_pop, 0.85) AS qa, quantile_cont(city_pop, 0.99) AS qb, count(DISTINCT trans_date) AS nd FROM tx),
+w AS (SELECT *, {_card(180, 'count(cents)')} AS c180, {_card(90, 'sum(cents)')} AS s90, {_card(30, 'sum(cents)')} AS s30, {_card(30, 'count(cents)')} AS c30, {_risk(180)}, {_risk(90)},
+ count(*) OVER (PARTITION BY cc_num) AS card_n, count(*) OVER (PARTITION BY cc_num, trans_date) AS day_n,
+ dense_rank() OVER (ORDER BY job_category) - 1 AS jcode, dense_rank() OVER (ORDER BY category) - 1 AS ccode,
+ CAST(sum(cents) OVER (PARTITION BY city) AS DOUBLE)/count(*) OVER (PARTITION BY city)/100 AS city_mean FROM jc),
+l AS (SELECT *, lag(c180) OVER o AS lc180, lag(s90) OVER o AS ls90, lag(s30) OVER o AS ls30, lag(c30) OVER o AS lc30 FROM w WINDOW o AS (PARTITION BY cc_num ORDER BY us))
+SELECT trans_num, CASE WHEN gender = 'M' THEN 1 ELSE 0 END AS gender_M, CAST(jcode AS DOUBLE) AS job_encoded, CAST(ccode AS DOUBLE) AS category_encoded,
+CAST(coalesce({AGE_CODE}, 0) AS INTEGER) AS age_group, CASE WHEN city_pop <= qa THEN 0 WHEN city_pop <= qb THEN 1 ELSE 2 END AS city_size,
+CASE WHEN trans_date IN (SELECT h FROM hol) THEN 1 ELSE 0 END AS is_holiday, CAST(day_n AS BIGINT) AS daily_trans_count,
+CAST(coalesce(lc180, 0) AS BIGINT) AS count_amount_180_days, round(coalesce(CAST(ls90 AS DOUBLE)/100, 0),6) AS sum_amount_90_days,
+round(coalesce(CAST(ls30 AS DOUBLE)/100/lc30, city_mean),6) AS avg_amount_30_days,
+merchant_num_trans_180_day_window, merchant_risk_90_day_window, round(CAST(nd AS DOUBLE)/card_n,6) AS card_count_sparsity FROM l, q""",
+    "split_manifest": f"WITH {TX}, {MANIFEST} SELECT * FROM man",
+    "split_rows": f"""WITH {TX}, {MANIFEST}, u AS (SELECT split_id, 'train' AS role, train_start_us AS f, train_end_us AS t FROM man WHERE reason IS NULL
+UNION ALL SELECT split_id, 'val', val_start_us, val_end_us FROM man WHERE reason IS NULL)
+SELECT split_id, role, min(us) AS first_us, max(us) AS last_us, count(*) AS n FROM u JOIN tx ON us BETWEEN f AND t GROUP BY split_id, role""",
+    "standardize": f"""WITH {TX}, s AS (SELECT avg(CAST(amt AS DOUBLE)) AS ma, stddev_pop(CAST(amt AS DOUBLE)) AS sa, avg(city_pop) AS mc, stddev_pop(city_pop) AS sc FROM tx)
+SELECT trans_num, round((CAST(amt AS DOUBLE)-ma)/sa,6) AS amount, round((city_pop-mc)/sc,6) AS city_pop FROM tx, s""",
+    "roc_auc": f"WITH {TX}, {_curve()} SELECT round({AUC},9) AS auc_roc FROM curve",
+    "avg_precision": f"WITH {TX}, {_curve()} SELECT round({AP},9) AS average_precision FROM curve",
+    "pr_auc": f"WITH {TX}, {_curve()} SELECT round({PRAUC},9) AS pr_auc FROM curve",
+    "f1": f"""WITH {TX}, q AS (SELECT count(*) FILTER (score > 0.5 AND is_fraud = 1) AS tp, count(*) FILTER (score > 0.5) AS al, count(*) FILTER (is_fraud = 1) AS p FROM tx)
+SELECT round(CASE WHEN tp = 0 THEN 0.0 ELSE 2*(tp/al)*(tp/p)/((tp/al)+(tp/p)) END,9) AS f1_score FROM q""",
+    "precision_at_k_day": f"WITH {TX}, {_top('5')} SELECT CAST(trans_date AS VARCHAR) AS trans_date, n_fraud, n_detected, round(n_detected/5,9) AS precision FROM d",
+    "precision_at_fraud_count_day": f"WITH {TX}, {_top('nf')} SELECT CAST(trans_date AS VARCHAR) AS trans_date, n_fraud, n_detected, round(CAST(n_detected AS DOUBLE)/nullif(n_fraud,0),9) AS precision FROM d",
+    "detected_at_k": f"WITH {TX}, {_top('5')} SELECT CAST(trans_date AS VARCHAR) AS trans_date, trans_num FROM r WHERE rk <= 5 AND is_fraud = 1",
+    "precision_at_k_mean": f"WITH {TX}, {_top('5')} SELECT {_even('avg(n_detected/5)', 3)} AS precision_top_5 FROM d",
+    "metric_table": f"""WITH {TX}, {_curve()}, {_top('5')}, r2 AS (SELECT trans_date, sum(CASE WHEN rk <= 50 THEN is_fraud END) AS n50 FROM r GROUP BY trans_date)
+SELECT {_even(AUC, 3)} AS auc_roc, {_even(AP, 3)} AS average_precision, {_even(F1, 3)} AS f1_score,
+(SELECT {_even('avg(n_detected/5)', 3)} FROM d) AS precision_top_5, (SELECT {_even('avg(coalesce(n50,0)/50)', 3)} FROM r2) AS precision_top_50 FROM curve""",
+    "confusion": f"""WITH {TX}, grid AS (SELECT * FROM (VALUES (0,0),(0,1),(1,0),(1,1)) v(label, predicted)),
+c AS (SELECT is_fraud AS l, CAST(score > 0.5 AS INTEGER) AS g, count(*) AS n FROM tx GROUP BY 1, 2)
+SELECT label, predicted, coalesce(n, 0) AS n FROM grid LEFT JOIN c ON label = l AND predicted = g""",
+    "naive_baseline": f"""WITH {TX} SELECT CAST(0.5 AS DOUBLE) AS auc_roc, round(avg(is_fraud),9) AS average_precision, round((avg(is_fraud)+1)/2,9) AS pr_auc, CAST(0 AS DOUBLE) AS f1_score FROM tx""",
+    "fold_metrics": f"WITH {TX}, {FOLDS} SELECT fold, dataset, metric, round(value,9) AS value FROM folds",
+    "fold_summary": f"""WITH {TX}, {FOLDS} SELECT metric, round(avg(value) FILTER (dataset='val'),9) AS val_mean, round(stddev_pop(value) FILTER (dataset='val'),9) AS val_std,
+round(avg(value) FILTER (dataset='train'),9) AS train_mean, round(stddev_pop(value) FILTER (dataset='train'),9) AS train_std FROM folds GROUP BY metric""",
+    "ks_drift": f"""WITH {TX}, v AS (SELECT CAST(date_trunc('month', ts) AS DATE) AS m, 'amt' AS feature, CAST(amt AS DOUBLE) AS x FROM tx UNION ALL
+SELECT CAST(date_trunc('month', ts) AS DATE), 'is_fraud', CAST(is_fraud AS DOUBLE) FROM tx),
+sz AS (SELECT m, count(*) AS n FROM v WHERE feature = 'amt' GROUP BY m),
+pairs AS (SELECT a.m AS month, CAST(k AS INTEGER) AS lag, b.m AS other, a.n AS na, b.n AS nb FROM sz a, (SELECT unnest([1,2,3]) AS k) l, sz b
+          WHERE b.m = CAST(a.m - to_months(CAST(k AS INTEGER)) AS DATE)),
+z AS (SELECT month, lag, feature, x, na, nb, sum(CASE WHEN m = month THEN 1 ELSE 0 END) AS ca, sum(CASE WHEN m = other THEN 1 ELSE 0 END) AS cb
+      FROM pairs JOIN v ON m = month OR m = other GROUP BY ALL),
+e AS (SELECT *, abs(CAST(sum(ca) OVER w AS DOUBLE)/na - CAST(sum(cb) OVER w AS DOUBLE)/nb) AS gap FROM z WINDOW w AS (PARTITION BY month, lag, feature ORDER BY x)),
+k AS (SELECT month, lag, feature, max(gap) AS ks, max(gap)*sqrt(CAST(any_value(na) AS DOUBLE)*any_value(nb)/(any_value(na)+any_value(nb))) AS lam FROM e GROUP BY month, lag, feature),
+pv AS (SELECT *, CASE WHEN lam < 0.04 THEN 1.0 ELSE least(1.0, greatest(0.0, 2*list_sum([CASE WHEN j % 2 = 1 THEN 1.0 ELSE -1.0 END * exp(-2.0*j*j*lam*lam) for j in range(1, 101)]))) END AS p FROM k)
+SELECT CAST(month AS VARCHAR) AS month, lag, feature, round(ks,9) AS ks, round(p,9) AS p_value, p < 0.05 AS drift FROM pv""",
+    "kl_drift": f"""WITH {TX}, v AS (SELECT CAST(date_trunc('month', ts) AS DATE) AS m, CAST(amt AS DOUBLE) AS x FROM tx),
+b AS (SELECT min(x) AS lo, (max(x)-min(x))/20 AS w FROM v), c AS (SELECT m, CAST(least(floor((x-lo)/w),19) AS INTEGER) AS bin, count(*) AS n FROM v, b GROUP BY 1, 2),
+sz AS (SELECT m, sum(n) AS s FROM c GROUP BY m),
+g AS (SELECT a.m AS month, o.m AS other, a.s AS sa, o.s AS so, CAST(bin AS INTEGER) AS bin FROM sz a JOIN sz o ON o.m = CAST(a.m - INTERVAL 1 MONTH AS DATE), (SELECT unnest(range(0,20)) AS bin) r),
+f AS (SELECT month, other, (coalesce(x.n,0)+1e-6)/(sa+1e-6*20) AS p, (coalesce(y.n,0)+1e-6)/(so+1e-6*20) AS q FROM g
+      LEFT JOIN c x ON x.m = month AND x.bin = g.bin LEFT JOIN c y ON y.m = other AND y.bin = g.bin)
+SELECT CAST(month AS VARCHAR) AS month, CAST(other AS VARCHAR) AS other, round(sum(p*ln(p/q)),8) AS kl FROM f GROUP BY month, other""",
 }

@@ -1,61 +1,693 @@
-"""The query catalog: name -> (spark, sf_dir) -> DataFrame."""
+"""The query catalog: name -> (spark, sf_dir) -> DataFrame.
+
+Every query reads whole tables. Doubles are rounded and dates are printed, so that two
+engines show the same values.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ledgerglass.functions import dates, numbers
 from ledgerglass.functions.geo import with_distance
-from ledgerglass.operators import rolling
+from ledgerglass.operators import (
+    cleaning,
+    drift,
+    encoders,
+    gazetteer,
+    metrics,
+    models,
+    points,
+    profile,
+    rolling,
+    running,
+    splits,
+)
+from ledgerglass.plans import features
 from ledgerglass.plans.views import gaz, tx_events, tx_sales
+from ledgerglass.sources.tables import load_summary as summarize_load
 
 TS = "trans_date_trans_time"
 WINDOWS = (7, 30, 90)
+QUERIES = {}
+
+
+def query(f):
+    QUERIES[f.__name__] = f
+    return f
 
 
 def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Doubles rounded, so that both engines print the same digits."""
     return df.select(
         *[F.round(c, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes]
     )
 
 
+def _dated(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("string") for c in columns})
+
+
+def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (
+        tx_sales(spark, sf_dir)
+        .withColumnRenamed("score", "predictions")
+        .withColumn("trans_date", F.to_date(TS))
+    )
+
+
+# --- load, filter, clean ---------------------------------------------------------------
+
+
+@query
+def load_summary(spark, sf_dir):
+    return summarize_load(tx_sales(spark, sf_dir))
+
+
+@query
+def label_split_counts(spark, sf_dir):
+    tx = tx_sales(spark, sf_dir)
+    side = lambda v: tx.where(F.col("is_fraud") == v).agg(F.count("*").alias("n")).withColumn("is_fraud", F.lit(v))
+    return side(0).unionByName(side(1))
+
+
+@query
+def filter_points(spark, sf_dir):
+    tx = tx_sales(spark, sf_dir)
+    return tx.where((F.col("city") == "C7") & (F.col("is_fraud") == 1)).select(
+        "trans_num", "merchant", "merch_lat", "merch_long", "city", "state"
+    )
+
+
+@query
+def drop_null_subset(spark, sf_dir):
+    tx = tx_sales(spark, sf_dir).select("trans_num", _holed("amt", 13), _holed("is_fraud", 17))
+    kept = cleaning.drop_nulls(tx, ("amt", "is_fraud"))
+    return kept.select("trans_num", F.col("amt").cast("double").alias("amt"), "is_fraud")
+
+
+def _holed(column: str, every: int):
+    """The column with nulls in it, for the null-handling queries."""
+    return F.when(F.col("trans_num") % every != 0, F.col(column)).alias(column)
+
+
+@query
+def fill_with_zero(spark, sf_dir):
+    tx = tx_sales(spark, sf_dir).select("trans_num", _holed("city_pop", 13), _holed("merchant", 17))
+    return cleaning.fill_zero(tx)
+
+
+@query
+def fill_with_group_mean(spark, sf_dir):
+    tx = tx_sales(spark, sf_dir).select("trans_num", "city", _holed("amt", 13))
+    tx = tx.withColumn("amt", F.col("amt").cast("double"))
+    return _rounded(cleaning.fill_group_mean(tx, "amt", "city"))
+
+
+@query
+def fill_with_mean(spark, sf_dir):
+    tx = tx_sales(spark, sf_dir).select("trans_num", _holed("amt", 13))
+    return _rounded(cleaning.fill_mean(tx.withColumn("amt", F.col("amt").cast("double")), "amt"))
+
+
+@query
+def preview(spark, sf_dir):
+    tx = tx_sales(spark, sf_dir).select("trans_num", "cc_num", "merchant", F.col("amt").cast("double").alias("amt"))
+    return profile.preview(tx, "trans_num", 5)
+
+
+@query
+def card_id_clean(spark, sf_dir):
+    padded = F.concat(F.lit("  "), F.col("cc_num").cast("string"), F.lit(" "))
+    return tx_sales(spark, sf_dir).select("trans_num", numbers.clean_identifier(padded).alias("card_id"))
+
+
+@query
+def time_slice(spark, sf_dir):
+    tx = profile.time_slice(tx_sales(spark, sf_dir), "1996-01-01 12:00:00", "1996-06-30 12:00:00")
+    return tx.select("trans_num", "cc_num", dates.epoch_us(TS).alias("us"))
+
+
+@query
+def event_time_slice(spark, sf_dir):
+    tx = profile.time_slice(tx_events(spark, sf_dir), "2024-01-05 00:00:00", "2024-01-12 12:00:00")
+    return tx.select("trans_num", "cc_num", dates.epoch_us(TS).alias("us"))
+
+
+@query
+def threshold_class(spark, sf_dir):
+    tx = tx_sales(spark, sf_dir)
+    return tx.select(
+        "trans_num",
+        numbers.to_class("score", 0.5).alias("predicted"),
+        numbers.to_class("score", 0.25).alias("predicted_strict"),
+    )
+
+
+# --- card and merchant behaviour ---------------------------------------------------------
+
+
+@query
 def merchant_delayed_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
     risk = rolling.merchant_risk(tx_sales(spark, sf_dir), delay=7, windows=(1, 7, 30))
     return _rounded(risk.select("trans_num", *[c for c in risk.columns if c.startswith("merchant_")]))
 
 
+@query
+def event_type_delayed_risk(spark, sf_dir):
+    """Five very large merchants over thirty days."""
+    risk = rolling.merchant_risk(tx_events(spark, sf_dir), delay=2, windows=(1, 7))
+    return _rounded(risk.select("trans_num", *[c for c in risk.columns if c.startswith("merchant_")]))
+
+
+@query
 def card_rolling_amount(spark, sf_dir):
-    tx = with_distance(tx_sales(spark, sf_dir))
-    out = rolling.card_behaviour(tx, WINDOWS)
+    out = rolling.card_behaviour(with_distance(tx_sales(spark, sf_dir)), WINDOWS)
     kinds = ("sum_amount", "count_amount", "avg_amount", "amount_over_average")
     return _rounded(out.select("trans_num", *[f"{k}_{w}_days" for k in kinds for w in WINDOWS]))
 
 
+@query
 def card_rolling_distance(spark, sf_dir):
-    tx = with_distance(tx_sales(spark, sf_dir))
-    out = rolling.card_behaviour(tx, WINDOWS)
+    out = rolling.card_behaviour(with_distance(tx_sales(spark, sf_dir)), WINDOWS)
     kinds = ("avg_distance", "distance_over_avg")
     return _rounded(out.select("trans_num", *[f"{k}_{w}_days" for k in kinds for w in WINDOWS]), 4)
 
 
+@query
 def card_gap(spark, sf_dir):
-    tx = with_distance(tx_sales(spark, sf_dir))
-    out = rolling.card_behaviour(tx, (7,))
-    return _rounded(out.select("trans_num", "inter_transaction_time_7_days"))
+    out = rolling.card_behaviour(with_distance(tx_sales(spark, sf_dir)), (7,))
+    return _rounded(out.select("trans_num", "inter_transaction_time_7_days"), 4)
 
 
+@query
 def card_daily_count(spark, sf_dir):
-    tx = with_distance(tx_sales(spark, sf_dir))
-    return rolling.card_behaviour(tx, (7,)).select("trans_num", "daily_trans_count")
+    out = rolling.card_behaviour(with_distance(tx_sales(spark, sf_dir)), (7,))
+    return out.select("trans_num", "daily_trans_count")
+
+
+@query
+def sparsity(spark, sf_dir):
+    out = rolling.with_sparsity(tx_sales(spark, sf_dir))
+    return _rounded(out.select("trans_num", *[c for c in out.columns if c.endswith("_sparsity")]), 9)
+
+
+@query
+def sparsity_means(spark, sf_dir):
+    return _rounded(profile.mean_sparsity(tx_sales(spark, sf_dir)), 9)
+
+
+@query
+def spread_points(spark, sf_dir):
+    frauds = tx_sales(spark, sf_dir).where("is_fraud = 1")
+    return _rounded(points.spread_points(frauds).select("trans_num", "lat_adjusted", "long_adjusted"), 9)
+
+
+@query
+def spread_all_points(spark, sf_dir):
+    """Every transaction, where one place can hold a large part of the table."""
+    placed = points.spread_points(tx_sales(spark, sf_dir))
+    return _rounded(placed.select("trans_num", "lat_adjusted", "long_adjusted"), 9)
+
+
+# --- aggregates ----------------------------------------------------------------------------
+
+
+@query
+def key_totals(spark, sf_dir):
+    tx = tx_sales(spark, sf_dir)
+    side = lambda k: profile.key_totals(tx, k).select(
+        F.lit(k).alias("kind"), F.col(k).cast("string").alias("key"), "n", "total_amount"
+    )
+    return _rounded(side("cc_num").unionByName(side("merchant")), 2)
+
+
+@query
+def city_means(spark, sf_dir):
+    return _rounded(rolling.city_means(with_distance(tx_sales(spark, sf_dir))), 5)
+
+
+@query
+def distinct_counts(spark, sf_dir):
+    return profile.distinct_counts(tx_sales(spark, sf_dir), ("cc_num", "merchant", "category", "job", "city"))
+
+
+@query
+def daily_fraud_stats(spark, sf_dir):
+    return _dated(profile.daily_fraud_stats(tx_sales(spark, sf_dir)), "trans_date")
+
+
+@query
+def daily_fraud_stats_card(spark, sf_dir):
+    tx = tx_sales(spark, sf_dir).where("cc_num = 77")
+    return _dated(profile.daily_fraud_stats(tx), "trans_date")
+
+
+@query
+def value_counts(spark, sf_dir):
+    return profile.value_counts(tx_sales(spark, sf_dir), "job")
+
+
+@query
+def top_cities(spark, sf_dir):
+    return profile.top_values(tx_sales(spark, sf_dir), "city", 10)
+
+
+@query
+def top_states(spark, sf_dir):
+    top = profile.top_values(tx_sales(spark, sf_dir), "state", 10)
+    return top.withColumn("n_scaled", F.col("n") / 10)
+
+
+@query
+def rates_by_dimension(spark, sf_dir):
+    tx = gazetteer.categorize(tx_sales(spark, sf_dir), gaz(spark, sf_dir))
+    out = profile.rates_by_dimension(
+        tx,
+        {
+            "day_of_week": dates.day_of_week(TS),
+            "hour": dates.hour_of_day(TS),
+            "gender": F.col("gender"),
+            "job_category": F.col("job_category"),
+            "category": F.col("category"),
+        },
+    )
+    return _rounded(out, 9).orderBy("dimension", F.desc("fraud_rate"), "value")
+
+
+@query
+def rate_by_age_group(spark, sf_dir):
+    age = dates.age_in_years(TS, "dob")
+    group = numbers.bin_right_closed(age, numbers.AGE_BOUNDS, numbers.AGE_NAMES)
+    out = profile.rates_by_dimension(tx_sales(spark, sf_dir), {"age_group": group})
+    return _rounded(out.select(F.col("value").alias("age_group"), "n", "share", "fraud_rate"), 9)
+
+
+@query
+def first_fraud(spark, sf_dir):
+    first = profile.with_first_fraud(tx_sales(spark, sf_dir))
+    return first.select("trans_num", dates.epoch_us("first_fraud_date").alias("first_fraud_us"))
+
+
+@query
+def active_after_fraud(spark, sf_dir):
+    return _rounded(profile.active_after_fraud(tx_sales(spark, sf_dir)), 9)
+
+
+@query
+def class_means(spark, sf_dir):
+    tx = with_distance(tx_sales(spark, sf_dir)).withColumn("amount", F.col("amt").cast("double"))
+    return _rounded(profile.class_means(tx, ("amount", "distance", "score")), 4)
+
+
+@query
+def city_size(spark, sf_dir):
+    tx = tx_sales(spark, sf_dir)
+    bounds = features.fit_city_bounds(tx)
+    return tx.select(
+        "trans_num",
+        "city_pop",
+        numbers.bin_right_closed("city_pop", bounds, numbers.CITY_CODES).alias("city_size"),
+        numbers.bin_right_closed("city_pop", numbers.CITY_BOUNDS, numbers.CITY_CODES).alias("fixed_size"),
+    )
+
+
+@query
+def exact_quantiles(spark, sf_dir):
+    tx = tx_sales(spark, sf_dir)
+    cuts = running.quantiles(tx, "city_pop", (0.85, 0.99)).withColumn("column_name", F.lit("city_pop"))
+    amounts = running.quantiles(tx, "amt", (0.25, 0.5, 0.75, 0.99)).withColumn("column_name", F.lit("amt"))
+    return _rounded(cuts.unionByName(amounts))
+
+
+@query
+def imbalance(spark, sf_dir):
+    return _rounded(profile.imbalance(tx_sales(spark, sf_dir)))
+
+
+@query
+def positive_weights(spark, sf_dir):
+    return tx_sales(spark, sf_dir).select("trans_num", numbers.positive_weight("is_fraud", 50).alias("weight"))
+
+
+@query
+def loss(spark, sf_dir):
+    tx = tx_sales(spark, sf_dir).withColumn("predicted", numbers.to_class("score"))
+    return _rounded(profile.monetary_loss(tx), 2)
+
+
+@query
+def corr_matrix(spark, sf_dir):
+    columns = ("amt", "lat", "long", "city_pop", "merch_lat", "merch_long", "is_fraud")
+    return _rounded(profile.correlations(tx_sales(spark, sf_dir), columns))
+
+
+@query
+def table_profile(spark, sf_dir):
+    tx = tx_sales(spark, sf_dir).select(
+        "cc_num", "merchant", "category", "gender", "city_pop", _holed("amt", 13), "is_fraud"
+    )
+    return _rounded(profile.table_profile(tx), 4)
+
+
+@query
+def duplicate_rows(spark, sf_dir):
+    return profile.duplicate_rows(tx_sales(spark, sf_dir).select("cc_num", "merchant", "category"))
+
+
+@query
+def histogram(spark, sf_dir):
+    tx = tx_sales(spark, sf_dir).withColumn("scale_amt", numbers.log_scale("amt"))
+    return _rounded(profile.histogram(tx, "scale_amt", 30))
+
+
+@query
+def box_stats(spark, sf_dir):
+    tx = tx_sales(spark, sf_dir).select(
+        numbers.bin_right_closed(dates.age_in_years(TS, "dob"), numbers.AGE_BOUNDS, numbers.AGE_NAMES).alias("age_group"),
+        numbers.log_scale("amt").alias("scale_amt"),
+    )
+    return _rounded(profile.box_stats(tx, "age_group", "scale_amt"))
+
+
+@query
+def density2d(spark, sf_dir):
+    tx = tx_sales(spark, sf_dir).select(
+        dates.age_in_years(TS, "dob").alias("age"), numbers.log_scale("amt").alias("scale_amt")
+    )
+    return profile.density2d(tx, "age", "scale_amt", 20, 20)
+
+
+# --- row-local features ---------------------------------------------------------------------
+
+
+@query
+def time_flags(spark, sf_dir):
+    tx = dates.with_time_features(tx_sales(spark, sf_dir))
+    return _dated(
+        tx.select(
+            "trans_num",
+            "trans_date",
+            "transaction_hour",
+            "transaction_day_of_week",
+            "is_holiday",
+            "is_weekend",
+            "is_high_risk_hour",
+        ),
+        "trans_date",
+    )
+
+
+@query
+def age_groups(spark, sf_dir):
+    tx = tx_sales(spark, sf_dir).withColumn("age", dates.age_in_years(TS, "dob"))
+    return tx.select(
+        "trans_num", "age", numbers.bin_right_closed("age", numbers.AGE_BOUNDS, numbers.AGE_CODES).alias("age_group")
+    )
+
+
+@query
+def log_scale(spark, sf_dir):
+    tx = tx_sales(spark, sf_dir)
+    return _rounded(
+        tx.select(
+            "trans_num",
+            numbers.log_scale("amt").alias("scale_amt"),
+            numbers.log_scale("city_pop").alias("city_pop_scale"),
+        )
+    )
+
+
+@query
+def geodesic(spark, sf_dir):
+    return _rounded(with_distance(tx_sales(spark, sf_dir)).select("trans_num", "distance"), 5)
+
+
+@query
+def months(spark, sf_dir):
+    tx = tx_sales(spark, sf_dir)
+    return _dated(tx.select(dates.month_of(TS).alias("month")).distinct(), "month")
+
+
+# --- encoders and job categories ---------------------------------------------------------------
+
+
+@query
+def label_encode(spark, sf_dir):
+    tx = tx_sales(spark, sf_dir)
+    coded = encoders.encode_label(tx, "job", encoders.fit_codes(tx, "job"), "job_label")
+    return coded.select("trans_num", "job_label")
+
+
+@query
+def ordinal_encode(spark, sf_dir):
+    """Codes fitted before 1999 and applied to everything; merchants of later years may be unseen."""
+    tx = tx_sales(spark, sf_dir)
+    fitted = encoders.fit_codes(tx.where(F.col(TS) < "1995-02-01"), "merchant")
+    coded = encoders.encode_ordinal(tx, "merchant", fitted, "merchant_encoded")
+    return coded.select("trans_num", "merchant_encoded")
+
+
+@query
+def encoder_mapping(spark, sf_dir):
+    return encoders.fit_codes(tx_sales(spark, sf_dir), "merchant")
+
+
+@query
+def onehot(spark, sf_dir):
+    tx = tx_sales(spark, sf_dir)
+    coded = encoders.encode_onehot(tx, "gender", encoders.fit_onehot(tx, "gender"))
+    coded = encoders.encode_onehot(coded, "category", encoders.fit_onehot(tx, "category"))
+    return coded.select("trans_num", *[c for c in coded.columns if c.startswith(("gender_", "category_"))])
+
+
+@query
+def categorize(spark, sf_dir):
+    tx = gazetteer.categorize(tx_sales(spark, sf_dir), gaz(spark, sf_dir))
+    return tx.select("trans_num", "job_category")
+
+
+@query
+def unseen_values(spark, sf_dir):
+    return gazetteer.unseen_values(tx_sales(spark, sf_dir), gaz(spark, sf_dir))
+
+
+@query
+def fuzzy_match(spark, sf_dir):
+    listed = gaz(spark, sf_dir)
+    unseen = gazetteer.unseen_values(tx_sales(spark, sf_dir), listed)
+    return _rounded(gazetteer.nearest_titles(unseen, listed, 70.0))
+
+
+@query
+def updated_gazetteer(spark, sf_dir):
+    listed = gaz(spark, sf_dir)
+    return gazetteer.update_gazetteer(listed, tx_sales(spark, sf_dir)).select("category", "job")
+
+
+@query
+def train_risk_enrich(spark, sf_dir):
+    tx = tx_sales(spark, sf_dir)
+    risks = ["merchant_risk_7_day_window", "merchant_risk_30_day_window"]
+    train = rolling.merchant_risk(tx.where(F.col(TS) < "1999-01-01"), 7, (7, 30))
+    test = tx.where(F.col(TS) >= "1999-01-01").withColumns({r: F.lit(-1.0) for r in risks})
+    return _rounded(features.with_train_risk(test, train, risks).select("trans_num", *risks))
+
+
+# --- splits, scaling, metrics, drift -----------------------------------------------------------
+
+
+@query
+def split_manifest(spark, sf_dir):
+    return splits.split_manifest(tx_sales(spark, sf_dir).select(TS))
+
+
+@query
+def split_rows(spark, sf_dir):
+    tx = tx_sales(spark, sf_dir).select(TS)
+    return splits.split_summary(tx, splits.split_manifest(tx))
+
+
+@query
+def standardize(spark, sf_dir):
+    tx = tx_sales(spark, sf_dir).withColumn("amount", F.col("amt").cast("double"))
+    scaled = models.standardize(tx, models.fit_scaler(tx, ("amount", "city_pop")))
+    return _rounded(scaled.select("trans_num", "amount", "city_pop"))
+
+
+@query
+def roc_auc(spark, sf_dir):
+    return _rounded(metrics.ranking_metrics(_scored(spark, sf_dir)).select("auc_roc"), 9)
+
+
+@query
+def avg_precision(spark, sf_dir):
+    return _rounded(metrics.ranking_metrics(_scored(spark, sf_dir)).select("average_precision"), 9)
+
+
+@query
+def pr_auc(spark, sf_dir):
+    return _rounded(metrics.ranking_metrics(_scored(spark, sf_dir)).select("pr_auc"), 9)
+
+
+@query
+def f1(spark, sf_dir):
+    return _rounded(metrics.ranking_metrics(_scored(spark, sf_dir)).select("f1_score"), 9)
+
+
+@query
+def precision_at_k_day(spark, sf_dir):
+    return _dated(_rounded(metrics.precision_top_k_by_day(_scored(spark, sf_dir), 5), 9), "trans_date")
+
+
+@query
+def precision_at_fraud_count_day(spark, sf_dir):
+    return _dated(_rounded(metrics.precision_top_k_by_day(_scored(spark, sf_dir), None), 9), "trans_date")
+
+
+@query
+def detected_at_k(spark, sf_dir):
+    return _dated(metrics.detected_top_k(_scored(spark, sf_dir), 5), "trans_date")
+
+
+@query
+def precision_at_k_mean(spark, sf_dir):
+    return metrics.precision_top_k(_scored(spark, sf_dir), 5)
+
+
+@query
+def metric_table(spark, sf_dir):
+    return metrics.metric_table(_scored(spark, sf_dir), top_k=(5, 50))
+
+
+@query
+def confusion(spark, sf_dir):
+    tx = tx_sales(spark, sf_dir).withColumn("predicted", numbers.to_class("score"))
+    return metrics.confusion(tx)
+
+
+@query
+def naive_baseline(spark, sf_dir):
+    """Everything predicted honest."""
+    tx = _scored(spark, sf_dir).withColumn("predictions", F.lit(0.0))
+    return _rounded(metrics.ranking_metrics(tx), 9)
+
+
+def _folds(spark, sf_dir):
+    """Metrics of each year as a fold, even transactions as validation and odd ones as training."""
+    tx = _scored(spark, sf_dir).withColumns(
+        {"fold": F.year(TS), "dataset": F.when(F.col("trans_num") % 2 == 0, "val").otherwise("train")}
+    )
+    wide = metrics.ranking_metrics(tx, groups=("fold", "dataset"))
+    return wide.unpivot(["fold", "dataset"], ["auc_roc", "average_precision", "f1_score"], "metric", "value")
+
+
+@query
+def fold_metrics(spark, sf_dir):
+    return _rounded(_folds(spark, sf_dir), 9)
+
+
+@query
+def fold_summary(spark, sf_dir):
+    return _rounded(metrics.side_by_side(metrics.fold_summary(_folds(spark, sf_dir))), 9)
+
+
+@query
+def ks_drift(spark, sf_dir):
+    return _dated(_rounded(drift.ks_drift(tx_sales(spark, sf_dir)), 9), "month")
+
+
+@query
+def kl_drift(spark, sf_dir):
+    return _dated(_rounded(drift.kl_drift(tx_sales(spark, sf_dir)), 8), "month", "other")
+
+
+# --- models ------------------------------------------------------------------------------------
+
+MODEL_FEATURES = (
+    "amt",
+    "city_pop",
+    "distance",
+    "transaction_hour",
+    "transaction_day_of_week",
+    "is_weekend",
+    "age",
+    "merchant_num_trans_30_day_window",
+    "merchant_risk_30_day_window",
+)
+
+
+def _model_rows(spark, sf_dir):
+    tx = dates.with_time_features(with_distance(tx_sales(spark, sf_dir)))
+    tx = tx.withColumn("age", dates.age_in_years(TS, "dob"))
+    rows = rolling.merchant_risk(tx, 7, (30,)).select("trans_num", TS, "trans_date", "is_fraud", *MODEL_FEATURES)
+    return rows.persist()
+
+
+def _manifest(rows):
+    return splits.split_manifest(rows, freq=365, rolling_window=365, gap=30, val_duration=365)
+
+
+@query
+def gbt_scores(spark, sf_dir):
+    rows = _model_rows(spark, sf_dir)
+    train, later = (rows.where(F.col(TS) < "1999-01-01"), rows.where(F.col(TS) >= "1999-02-01"))
+    model = models.fit_model(models.boosted_trees(trees=20), train, MODEL_FEATURES, pos_weight=50.0)
+    return models.predict(model, later, MODEL_FEATURES).select("trans_num", "is_fraud", "predictions")
+
+
+@query
+def rf_importance(spark, sf_dir):
+    return models.feature_importance(_model_rows(spark, sf_dir), MODEL_FEATURES, 5)
+
+
+@query
+def rolling_eval(spark, sf_dir):
+    rows = _model_rows(spark, sf_dir)
+    folds = models.evaluate_splits(
+        rows, _manifest(rows), models.boosted_trees(trees=5, depth=3), MODEL_FEATURES, (50,), pos_weight=50.0
+    )
+    return models.evaluation_summary(folds)
+
+
+@query
+def param_sweep(spark, sf_dir):
+    rows = _model_rows(spark, sf_dir)
+    settings = {
+        f"weight {w:g}, depth {d}": (models.boosted_trees(trees=3, depth=d), w) for w, d in ((50.0, 2), (200.0, 3))
+    }
+    return models.evaluation_summary(models.sweep(rows, _manifest(rows), settings, MODEL_FEATURES, (50,)))
+
+
+@query
+def grid_search(spark, sf_dir):
+    rows = _model_rows(spark, sf_dir)
+    ratio = profile.imbalance(rows).first().imbalance_ratio
+    weights = (ratio - 2, ratio, ratio + 2, 2 * ratio)
+    return models.grid_search(rows, models.boosted_trees(trees=3, depth=3), MODEL_FEATURES, weights)
+
+
+# --- whole build -----------------------------------------------------------------------------
 
 
-QUERIES = {
-    f.__name__: f
-    for f in (
-        merchant_delayed_risk,
-        card_rolling_amount,
-        card_rolling_distance,
-        card_gap,
-        card_daily_count,
+@query
+def feature_table(spark, sf_dir):
+    tx, listed = tx_sales(spark, sf_dir), gaz(spark, sf_dir)
+    built = features.build_features(tx, listed, features.fit(tx, listed))
+    return _rounded(
+        built.select(
+            "trans_num",
+            "gender_M",
+            "job_encoded",
+            "category_encoded",
+            "age_group",
+            "city_size",
+            "is_holiday",
+            "daily_trans_count",
+            "count_amount_180_days",
+            "sum_amount_90_days",
+            "avg_amount_30_days",
+            "merchant_num_trans_180_day_window",
+            "merchant_risk_90_day_window",
+            "card_count_sparsity",
+        )
     )
-}
