@@ -29,9 +29,10 @@ def bin_right_closed(value, bounds: Sequence[float], labels: Sequence) -> Column
 
 
 def ratio(numerator, denominator) -> Column:
-    """Quotient as a double; null where the denominator is 0 or null."""
-    as_col = lambda c: F.col(c) if isinstance(c, str) else c
-    return F.try_divide(as_col(numerator).cast("double"), as_col(denominator).cast("double"))
+    """Quotient as a double. Over 0 it is infinite, as in floating point; 0 over 0 is null."""
+    as_double = lambda c: (F.col(c) if isinstance(c, str) else c).cast("double")
+    top, bottom = as_double(numerator), as_double(denominator)
+    return F.when(bottom != 0, top / bottom).when((bottom == 0) & (top != 0), F.signum(top) * float("inf"))
 
 
 def log_scale(value) -> Column:

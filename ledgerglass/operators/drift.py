@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ledgerglass.functions.dates import month_of
-from ledgerglass.operators.running import running_totals
+from ledgerglass.operators.running import range_count, with_range
 from ledgerglass.operators.skew import settle_small
+from ledgerglass.sources.stage import stage
 
 
 def kolmogorov_p(statistic: Column, n1: Column, n2: Column, terms: int = 100) -> Column:
@@ -48,6 +49,7 @@ def ks_drift(
         .groupBy("month", "feature", "value")
         .agg(F.count("*").alias("_n"))
     )
+    counts = stage(counts)
     sizes = settle_small(counts.where(F.col("feature") == features[0]).groupBy("month").agg(F.sum("_n").alias("_size")))
     pairs = _month_pairs(sizes.select("month"), lags)
     # a month takes part in a pair as the newer or as the older side
@@ -66,23 +68,45 @@ def ks_drift(
         .select("month", "lag", "_side", "_new", "_size")
     )
     keys = ["month", "lag", "feature"]
-    merged = (
-        counts.withColumnRenamed("month", "_side")
+    place = [*keys, "_range"]
+    counted = lambda n: (
+        (n * F.col("_new")).alias("_a"),
+        (n * (1 - F.col("_new"))).alias("_b"),
+    )
+    ranged = with_range(counts, "value", "_range", range_count(df), ("month", "feature"))
+    ranged = ranged.withColumnRenamed("month", "_side")
+    # what both sides have in the earlier ranges, from one row per (month, feature, range)
+    earlier = W.partitionBy(*keys).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    offsets = (
+        ranged.groupBy("_side", "feature", "_range")
+        .agg(F.sum("_n").alias("_n"))
         .join(sides, "_side")
-        .groupBy(*keys, "value")
-        .agg(
-            F.sum(F.col("_n") * F.col("_new")).alias("_a"),
-            F.sum(F.col("_n") * (1 - F.col("_new"))).alias("_b"),
+        .select(*place, *counted(F.col("_n")))
+        .groupBy(*place)
+        .agg(F.sum("_a").alias("_a"), F.sum("_b").alias("_b"))
+        .select(
+            *place,
+            F.coalesce(F.sum("_a").over(earlier), F.lit(0)).alias("_a_before"),
+            F.coalesce(F.sum("_b").over(earlier), F.lit(0)).alias("_b_before"),
+        )
+    )
+    # the default frame takes in all rows of an equal value
+    within = W.partitionBy(*place).orderBy("value")
+    walked = (
+        ranged.join(sides, "_side")
+        .select(*place, "value", *counted(F.col("_n")))
+        .join(offsets, place)
+        .select(
+            *keys,
+            (F.col("_a_before") + F.sum("_a").over(within)).alias("_a_upto"),
+            (F.col("_b_before") + F.sum("_b").over(within)).alias("_b_upto"),
         )
     )
-    walked = running_totals(merged, keys, "value", {"_a_below": ("sum", "_a"), "_b_below": ("sum", "_b")})
     both = sides.groupBy("month", "lag").agg(
         F.max(F.when(F.col("_new") == 1, F.col("_size"))).alias("_n_new"),
         F.max(F.when(F.col("_new") == 0, F.col("_size"))).alias("_n_old"),
     )
-    gap = F.abs(
-        (F.col("_a_below") + F.col("_a")) / F.col("_n_new") - (F.col("_b_below") + F.col("_b")) / F.col("_n_old")
-    )
+    gap = F.abs(F.col("_a_upto") / F.col("_n_new") - F.col("_b_upto") / F.col("_n_old"))
     p = kolmogorov_p(F.col("ks"), F.col("_n_new"), F.col("_n_old"))
     return (
         walked.join(both, ["month", "lag"])

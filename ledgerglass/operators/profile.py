@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import isnan
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ledgerglass.functions.dates import epoch_us
@@ -11,6 +14,7 @@ from ledgerglass.functions.numbers import cents, ratio
 from ledgerglass.operators.running import quantiles
 from ledgerglass.operators.skew import settle_small
 from ledgerglass.schema import DAY_US, numeric_columns
+from ledgerglass.sources.stage import stage
 
 
 def key_totals(df: DataFrame, key: str) -> DataFrame:
@@ -75,17 +79,22 @@ def top_values(df: DataFrame, column: str, n: int = 10) -> DataFrame:
 def rates_by_dimension(df: DataFrame, dimensions: dict[str, Column], label: str = "is_fraud") -> DataFrame:
     """Long table (dimension, value, n, share, fraud_rate) for several dimensions at once.
 
-    One scan: the dimensions are GROUPING SETS of a single aggregate.
+    One scan: rows are first counted per combination of the dimensions, and the dimensions
+    are then GROUPING SETS over those few counts.
     """
     names = list(dimensions)
-    keyed = df.select(*[c.cast("string").alias(n) for n, c in dimensions.items()], label)
+    cells = (
+        df.select(*[c.cast("string").alias(n) for n, c in dimensions.items()], label)
+        .groupBy(*names)
+        .agg(F.count("*").alias("_n"), F.count(label).alias("_known"), F.sum(F.col(label).cast("bigint")).alias("_bad"))
+    )
     # grouping_id has one bit per name, set where the name is rolled up
     full = (1 << len(names)) - 1
     bit = {n: full ^ (1 << (len(names) - 1 - i)) for i, n in enumerate(names)}
-    counted = keyed.groupingSets([[n] for n in names], *names).agg(
+    counted = cells.groupingSets([[n] for n in names], *names).agg(
         F.grouping_id().alias("_set"),
-        F.count("*").alias("n"),
-        F.avg(label).alias("fraud_rate"),
+        F.sum("_n").alias("n"),
+        ratio(F.sum("_bad"), F.sum("_known")).alias("fraud_rate"),
     )
     dimension, value = None, None
     for n in names:
@@ -141,21 +150,32 @@ def monetary_loss(df: DataFrame, predicted: str = "predicted", label: str = "is_
 
 
 def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Pearson correlation of all column pairs in long form; rows missing a value are left
-    out of the pairs they miss. All pairs are computed in one aggregate."""
+    """Pearson correlation (a, b, r) of all column pairs; a row lacking a value is left out
+    of the pairs it lacks."""
     columns = list(columns or numeric_columns(df))
+    x = stage(df.select(*[F.col(c).cast("double").alias(c) for c in columns]))
+    holes = x.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
+    if not any(holes):
+        vectors = VectorAssembler(inputCols=columns, outputCol="_v").transform(x)
+        matrix = Correlation.corr(vectors, "_v").first()[0].toArray()
+        cells = [(a, b, float(matrix[i, j])) for i, a in enumerate(columns) for j, b in enumerate(columns)]
+        # a constant column has no correlation
+        cells = [(a, b, None if isnan(r) else r) for a, b, r in cells]
+        return df.sparkSession.createDataFrame(cells, "a string, b string, r double")
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    one = df.agg(
-        *[
-            F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}")
-            for i, (a, b) in enumerate(pairs)
+    out = None
+    # a few pairs per aggregate keep the generated code small enough to be compiled
+    for start in range(0, len(pairs), 8):
+        some = pairs[start : start + 8]
+        one = x.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(some)])
+        cells = [
+            F.struct(F.lit(p).alias("a"), F.lit(q).alias("b"), F.col(f"r{i}").alias("r"))
+            for i, (a, b) in enumerate(some)
+            for p, q in sorted({(a, b), (b, a)})
         ]
-    )
-    cells = []
-    for i, (a, b) in enumerate(pairs):
-        for x, y in {(a, b), (b, a)}:
-            cells.append(F.struct(F.lit(x).alias("a"), F.lit(y).alias("b"), F.col(f"r{i}").alias("r")))
-    return one.select(F.inline(F.array(*cells)))
+        part = one.select(F.inline(F.array(*cells)))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def table_profile(df: DataFrame) -> DataFrame:

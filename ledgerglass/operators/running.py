@@ -12,6 +12,8 @@ from math import isqrt
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
+from ledgerglass.sources.stage import stage
+
 SAMPLE_PER_RANGE = 16
 
 
@@ -67,14 +69,17 @@ def running_totals(
     order: str,
     measures: Mapping[str, tuple[str, str]],
     ranges: int | None = None,
+    staged: bool = False,
 ) -> DataFrame:
     """Totals over the rows strictly before each row, per group, by the order column.
 
     ``measures`` maps an output name to (``sum`` or ``max``, input column). The order
     column may be a struct; (groups, order) must be unique, which makes it the caller's
-    job to pre-aggregate equal values or to add a tie-break.
+    job to pre-aggregate equal values or to add a tie-break. The input is read three
+    times (cuts, totals, rows), so it is written once first unless it is ``staged`` already.
     """
     ranges = ranges or range_count(df)
+    df = df if staged else stage(df)
     cut = with_range(df, order, "_range", ranges, groups)
     keys = [*groups, "_range"]
     totals = cut.groupBy(*keys).agg(
@@ -122,7 +127,8 @@ def quantiles(
         .groupBy(*groups, F.col(value).cast("double").alias("_value"))
         .agg(F.count("*").alias("_n"))
     )
-    placed = running_totals(counts, groups, "_value", {"_below": ("sum", "_n")})
+    counts = stage(counts)
+    placed = running_totals(counts, groups, "_value", {"_below": ("sum", "_n")}, staged=True)
     sizes = counts.groupBy(*groups).agg(F.sum("_n").alias("_size"))
     if groups:
         same = F.lit(True)

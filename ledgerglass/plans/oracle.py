@@ -163,10 +163,9 @@ def _quantile_rows(column: str, ps, label: str) -> str:
     )
 
 
-def _corr_rows() -> str:
-    cols = ("amt", "lat", "long", "city_pop", "merch_lat", "merch_long", "is_fraud")
+def _corr_rows(cols, source: str = "tx") -> str:
     return " UNION ALL ".join(
-        f"SELECT '{a}' AS a, '{b}' AS b, round(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)),6) AS r FROM tx"
+        f"SELECT '{a}' AS a, '{b}' AS b, round(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)),6) AS r FROM {source}"
         for a in cols
         for b in cols
     )
@@ -226,7 +225,8 @@ CASE WHEN (event_id % 100003)*7919 % 1000 < 20 THEN 1 ELSE 0 END AS is_fraud FRO
     "card_rolling_distance": f"WITH {TX}, {GEO}, {_card_cte()} SELECT trans_num, "
     + ", ".join(
         f"round(coalesce(CAST(lm{w} AS DOUBLE)/1e6/lc{w}, cd),4) AS avg_distance_{w}_days, "
-        f"round(distance/coalesce(CAST(lm{w} AS DOUBLE)/1e6/lc{w}, cd),4) AS distance_over_avg_{w}_days"
+        f"CASE WHEN distance <> 0 OR coalesce(CAST(lm{w} AS DOUBLE)/1e6/lc{w}, cd) <> 0 "
+        f"THEN round(distance/coalesce(CAST(lm{w} AS DOUBLE)/1e6/lc{w}, cd),4) END AS distance_over_avg_{w}_days"
         for w in WINDOWS
     )
     + " FROM card",
@@ -290,7 +290,9 @@ CASE WHEN city_pop > 0 AND city_pop <= 88735 THEN 0 WHEN city_pop > 88735 AND ci
 round(CAST(count(*) FILTER (is_fraud = 0) AS DOUBLE)/count(*) FILTER (is_fraud = 1),6) AS imbalance_ratio FROM tx""",
     "positive_weights": f"WITH {TX} SELECT trans_num, CASE WHEN is_fraud = 1 THEN 50e0 ELSE 1e0 END AS weight FROM tx",
     "loss": f"WITH {TX} SELECT round(CAST(sum(cents) AS DOUBLE)/100,2) AS loss FROM tx WHERE is_fraud = 1 AND NOT score > 0.5",
-    "corr_matrix": f"WITH {TX} " + _corr_rows(),
+    "corr_matrix": f"WITH {TX} " + _corr_rows(("amt", "lat", "long", "city_pop", "merch_lat", "merch_long", "is_fraud")),
+    "corr_matrix_with_nulls": f"WITH {TX}, holed AS (SELECT * REPLACE (CASE WHEN trans_num % 13 <> 0 THEN amt END AS amt) FROM tx) "
+    + _corr_rows(("lat", "city_pop", "is_fraud", "cc_num", "amt"), "holed"),
     "table_profile": f"WITH {TX}, holed AS (SELECT * REPLACE (CASE WHEN trans_num % 13 <> 0 THEN amt END AS amt) FROM tx) " + _profile_rows(),
     "duplicate_rows": f"WITH {TX} SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT cc_num, merchant, category FROM tx)) AS n_duplicates FROM tx",
     "histogram": f"""WITH {TX}, {_HIST} SELECT CAST(least(floor((x-lo)/w), 29) AS INTEGER) AS bin, round(min(lo + least(floor((x-lo)/w), 29)*w),6) AS bin_start, count(*) AS n

@@ -25,6 +25,7 @@ from ledgerglass.operators import (
 )
 from ledgerglass.plans import features
 from ledgerglass.plans.views import gaz, tx_events, tx_sales
+from ledgerglass.sources.stage import stage
 from ledgerglass.sources.tables import load_summary as summarize_load
 
 TS = "trans_date_trans_time"
@@ -341,6 +342,12 @@ def corr_matrix(spark, sf_dir):
     return _rounded(profile.correlations(tx_sales(spark, sf_dir), columns))
 
 
+@query
+def corr_matrix_with_nulls(spark, sf_dir):
+    tx = tx_sales(spark, sf_dir).select("lat", "city_pop", "is_fraud", "cc_num", _holed("amt", 13))
+    return _rounded(profile.correlations(tx))
+
+
 @query
 def table_profile(spark, sf_dir):
     tx = tx_sales(spark, sf_dir).select(
@@ -620,7 +627,7 @@ def _model_rows(spark, sf_dir):
     tx = dates.with_time_features(with_distance(tx_sales(spark, sf_dir)))
     tx = tx.withColumn("age", dates.age_in_years(TS, "dob"))
     rows = rolling.merchant_risk(tx, 7, (30,)).select("trans_num", TS, "trans_date", "is_fraud", *MODEL_FEATURES)
-    return rows.persist()
+    return stage(rows)  # every fit reads the rows many times
 
 
 def _manifest(rows):
@@ -671,7 +678,7 @@ def grid_search(spark, sf_dir):
 
 @query
 def feature_table(spark, sf_dir):
-    tx, listed = tx_sales(spark, sf_dir), gaz(spark, sf_dir)
+    tx, listed = stage(tx_sales(spark, sf_dir)), gaz(spark, sf_dir)
     built = features.build_features(tx, listed, features.fit(tx, listed))
     return _rounded(
         built.select(
