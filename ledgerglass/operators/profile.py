@@ -149,6 +149,12 @@ def monetary_loss(df: DataFrame, predicted: str = "predicted", label: str = "is_
     return df.agg((F.coalesce(F.sum(F.when(missed, cents("amt"))), F.lit(0)) / 100).alias("loss"))
 
 
+def _pearson(a: Column, b: Column) -> Column:
+    """Correlation over the rows with both values; null for a constant side, where corr() would fail."""
+    a, b = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+
+
 def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation (a, b, r) of all column pairs; a row lacking a value is left out
     of the pairs it lacks."""
@@ -167,7 +173,7 @@ def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     # a few pairs per aggregate keep the generated code small enough to be compiled
     for start in range(0, len(pairs), 8):
         some = pairs[start : start + 8]
-        one = x.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(some)])
+        one = x.agg(*[_pearson(F.col(a), F.col(b)).alias(f"r{i}") for i, (a, b) in enumerate(some)])
         cells = [
             F.struct(F.lit(p).alias("a"), F.lit(q).alias("b"), F.col(f"r{i}").alias("r"))
             for i, (a, b) in enumerate(some)

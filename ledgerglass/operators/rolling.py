@@ -3,8 +3,8 @@
 Every rolling total is the difference of two running totals, ``F(t) - F(t - W)``. A
 frame that starts at UNBOUNDED PRECEDING is extended row by row, so the cost per key is
 linear, where a sliding frame would re-add its whole content for every row. All windows
-of one operator share a single exchange and sort. Sums are kept as integers (cents,
-millionths of a mile), so that the differences are exact.
+of one operator share a single exchange and sort. Sums are kept as integers (cents, and
+miles times 2**20), so that the differences are exact.
 
 Keys with too many rows for one task take a second way (see ``running_totals``) with the
 same results.
@@ -22,7 +22,7 @@ from ledgerglass.operators.running import running_totals
 from ledgerglass.operators.skew import MAX_ROWS_PER_KEY, split_hot
 from ledgerglass.schema import DAY_US, require_columns
 
-DISTANCE_SCALE = 1_000_000
+DISTANCE_SCALE = 1 << 20  # a power of two, so that scaling back is exact
 CARD_WINDOWS = (7, 30, 90, 180)
 RISK_WINDOWS = (1, 7, 30)
 

@@ -22,7 +22,7 @@ tx AS (SELECT *, ((trans_num % 99991)*104729 % 1000 + is_fraud*300)/1.3e3 AS sco
               CAST(make_timestamp(us) AS DATE) AS trans_date,
               CAST(round(amt*100) AS BIGINT) AS cents FROM tx0)"""
 
-# ellipsoidal distance in miles, then whole millionths of a mile
+# ellipsoidal distance in miles
 GEO = """geo1 AS (SELECT *, atan((1-1/298.257223563)*tan(radians(lat))) AS b1,
                 atan((1-1/298.257223563)*tan(radians(merch_lat))) AS b2 FROM tx),
 geo2 AS (SELECT *, 2*asin(sqrt(least(1.0, pow(sin((b2-b1)/2),2)
@@ -51,7 +51,7 @@ def _card(w: int, expr: str) -> str:
 def _card_cte() -> str:
     rolls = ", ".join(
         f"{_card(w, 'sum(cents)')} AS s{w}, {_card(w, 'count(cents)')} AS c{w}, "
-        f"{_card(w, 'sum(CAST(round(distance*1e6) AS BIGINT))')} AS m{w}"
+        f"{_card(w, 'sum(CAST(round(distance*1048576) AS BIGINT))')} AS m{w}"
         for w in WINDOWS
     )
     lags = ", ".join(
@@ -194,6 +194,11 @@ def _rates(dims: dict[str, str], source: str) -> str:
 
 _HIST = "h0 AS (SELECT ln(CAST(amt AS DOUBLE)+1) AS x FROM tx), hb AS (SELECT min(x) AS lo, (max(x)-min(x))/30 AS w FROM h0)"
 
+def _half_up(x: str) -> str:
+    """Four digits, rounding the decimal value half up."""
+    return f"CAST(round(CAST({x} AS DECIMAL(28,10)),4) AS DOUBLE)"
+
+
 ORACLE = {
     "load_summary": f"WITH {TX} SELECT count(*) AS n_transactions, CAST(sum(is_fraud) AS BIGINT) AS n_fraud FROM tx",
     "label_split_counts": f"WITH {TX} SELECT is_fraud, count(*) AS n FROM tx GROUP BY is_fraud",
@@ -224,9 +229,9 @@ CASE WHEN (event_id % 100003)*7919 % 1000 < 20 THEN 1 ELSE 0 END AS is_fraud FRO
     + " FROM card",
     "card_rolling_distance": f"WITH {TX}, {GEO}, {_card_cte()} SELECT trans_num, "
     + ", ".join(
-        f"round(coalesce(CAST(lm{w} AS DOUBLE)/1e6/lc{w}, cd),4) AS avg_distance_{w}_days, "
-        f"CASE WHEN distance <> 0 OR coalesce(CAST(lm{w} AS DOUBLE)/1e6/lc{w}, cd) <> 0 "
-        f"THEN round(distance/coalesce(CAST(lm{w} AS DOUBLE)/1e6/lc{w}, cd),4) END AS distance_over_avg_{w}_days"
+        f"{_half_up(f'coalesce(CAST(lm{w} AS DOUBLE)/1048576/lc{w}, cd)')} AS avg_distance_{w}_days, "
+        f"CASE WHEN distance <> 0 AND coalesce(CAST(lm{w} AS DOUBLE)/1048576/lc{w}, cd) = 0 THEN CAST('inf' AS DOUBLE) WHEN distance <> 0 OR coalesce(CAST(lm{w} AS DOUBLE)/1048576/lc{w}, cd) <> 0 "
+        f"THEN {_half_up(f'distance/coalesce(CAST(lm{w} AS DOUBLE)/1048576/lc{w}, cd)')} END AS distance_over_avg_{w}_days"
         for w in WINDOWS
     )
     + " FROM card",

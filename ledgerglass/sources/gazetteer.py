@@ -10,7 +10,7 @@ def read_gazetteer(spark: SparkSession, path: str) -> DataFrame:
 
     A missing file and malformed JSON both fail.
     """
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     parsed = F.from_json("value", "map<string,array<string>>", {"mode": "FAILFAST"})
     return (
         text.select(F.posexplode(F.map_entries(parsed)).alias("cat_ord", "_entry"))
