@@ -19,8 +19,9 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from ledgerglass.functions.dates import epoch_us
 from ledgerglass.functions.numbers import cents, ratio
 from ledgerglass.operators.running import running_totals
-from ledgerglass.operators.skew import MAX_ROWS_PER_KEY, split_hot
+from ledgerglass.operators.skew import MAX_ROWS_PER_KEY, count_keys, hot_keys, join_per_key, settle_small, split_hot
 from ledgerglass.schema import DAY_US, require_columns
+from ledgerglass.sources.stage import stage
 
 DISTANCE_SCALE = 1 << 20  # a power of two, so that scaling back is exact
 CARD_WINDOWS = (7, 30, 90, 180)
@@ -138,11 +139,11 @@ def card_totals(
     key: str = "cc_num",
     row_id: str = "trans_num",
     ts: str = "trans_date_trans_time",
-    max_rows: int = MAX_ROWS_PER_KEY,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Window counts and sums per card, plus ``daily_trans_count`` and the previous time."""
     timed = df.withColumn("_at", epoch_us(ts))
-    ordinary, hot = split_hot(timed, key, max_rows)
+    ordinary, hot = split_hot(timed, key, hot)
     day = F.to_date(ts)
     ordinary = _card_totals_ordinary(ordinary, key, row_id, windows).withColumn(
         "daily_trans_count", F.count(row_id).over(W.partitionBy(key, day))
@@ -170,46 +171,60 @@ def city_means(df: DataFrame) -> DataFrame:
     )
 
 
-def mean_gap_seconds(df: DataFrame, key: str, ts: str) -> DataFrame:
+def key_profile(df: DataFrame, key: str, ts: str = "trans_date_trans_time") -> DataFrame:
+    """One row per key: rows, amounts counted and summed, first and last time.
+
+    It answers for the hot keys, the sparsity and the mean gap in one pass; staged, because
+    all three read it.
+    """
+    return stage(
+        df.groupBy(key).agg(
+            F.count("*").alias("n_rows"),
+            F.count("amt").alias("_n"),
+            F.sum(cents("amt")).alias("_cents"),
+            F.count(ts).alias("_times"),
+            F.min(epoch_us(ts)).alias("_first"),
+            F.max(epoch_us(ts)).alias("_last"),
+        )
+    )
+
+
+def mean_gap_seconds(cards: DataFrame) -> DataFrame:
     """One row: the mean time between neighbouring transactions of a card.
 
     The gaps of a card add up to its last minus its first time, so no window is needed.
     """
-    span = df.groupBy(key).agg(
-        (F.max(epoch_us(ts)) - F.min(epoch_us(ts))).cast("decimal(20,0)").alias("_span"),
-        (F.count(ts) - 1).alias("_gaps"),
-    )
-    return span.agg(
-        F.try_divide(F.sum("_span").cast("double"), F.sum("_gaps").cast("double") * 1e6).alias("mean_gap")
-    )
+    span = F.sum((F.col("_last") - F.col("_first")).cast("decimal(20,0)")).cast("double")
+    gaps = F.sum(F.col("_times") - 1).cast("double")
+    return cards.agg(F.try_divide(span, gaps * 1e6).alias("mean_gap"))
 
 
-def sparsity(df: DataFrame, key: str, prefix: str, ts: str = "trans_date_trans_time") -> DataFrame:
-    """Per key: distinct dates of the whole table over the key's count, and over its amount."""
-    dates = df.select(F.countDistinct(F.to_date(ts))).scalar()
-    return (
-        df.groupBy(key)
-        .agg(F.count("amt").alias("_n"), F.sum(cents("amt")).alias("_cents"))
-        .withColumn("_dates", dates)
-        .select(
-            key,
-            ratio("_dates", "_n").alias(f"{prefix}_count_sparsity"),
-            ratio(F.col("_dates") * 100, F.col("_cents")).alias(f"{prefix}_amount_sparsity"),
-        )
-    )
+def count_dates(df: DataFrame, ts: str = "trans_date_trans_time") -> DataFrame:
+    return df.select(F.countDistinct(F.to_date(ts)).alias("n_dates"))
 
 
-def with_sparsity(df: DataFrame, ts: str = "trans_date_trans_time") -> DataFrame:
-    """Card and merchant sparsity attached to every row."""
-    return df.join(sparsity(df, "cc_num", "card", ts), "cc_num", "left").join(
-        sparsity(df, "merchant", "merchant", ts), "merchant", "left"
+def with_sparsity(
+    df: DataFrame,
+    key: str,
+    prefix: str,
+    profile: DataFrame,
+    dates: DataFrame,
+    max_rows: int = MAX_ROWS_PER_KEY,
+) -> DataFrame:
+    """Distinct dates of the whole table over the key's count, and over its amount."""
+    table = profile.withColumn("_dates", dates.scalar()).select(
+        key,
+        ratio("_dates", "_n").alias(f"{prefix}_count_sparsity"),
+        ratio(F.col("_dates") * 100, F.col("_cents")).alias(f"{prefix}_amount_sparsity"),
     )
+    return join_per_key(df, table, key, hot_keys(profile, key, max_rows))
 
 
 def card_behaviour(
     df: DataFrame,
     windows: Sequence[int] = CARD_WINDOWS,
     means: DataFrame | None = None,
+    cards: DataFrame | None = None,
     ts: str = "trans_date_trans_time",
     max_rows: int = MAX_ROWS_PER_KEY,
 ) -> DataFrame:
@@ -217,12 +232,14 @@ def card_behaviour(
 
     Windows end at the card's previous transaction. A card's first row has no window: sum
     and count stay null, the averages fall back to the mean of the row's city, taken from
-    ``means`` (fitted on training data) or from this table.
+    ``means`` (fitted on training data) or from this table. ``cards`` is the table's
+    ``key_profile`` by card, if the caller has it.
     """
     require_columns(df, "cc_num", "trans_num", "amt", "distance", "city", ts)
-    means = city_means(df) if means is None else means
-    gap = mean_gap_seconds(df, "cc_num", ts).scalar()
-    totals = card_totals(df, windows, ts=ts, max_rows=max_rows)
+    means = settle_small(city_means(df)) if means is None else means
+    cards = key_profile(df, "cc_num", ts) if cards is None else cards
+    gap = mean_gap_seconds(cards).scalar()
+    totals = card_totals(df, windows, ts=ts, hot=hot_keys(cards, "cc_num", max_rows))
     filled = totals.join(means, "city", "left").withColumn("_mean_gap", gap)
     first = F.col("_prev_at").isNull()
     seconds = F.coalesce((F.col("_at") - F.col("_prev_at")) / 1e6, F.col("_mean_gap"))
@@ -264,11 +281,13 @@ def merchant_risk(
     row_id: str = "trans_num",
     ts: str = "trans_date_trans_time",
     max_rows: int = MAX_ROWS_PER_KEY,
+    profile: DataFrame | None = None,
 ) -> DataFrame:
     """Transactions and fraud share of the merchant in ``(t - delay - w, t - delay]`` days.
 
     Labels become known only after the delay, so a row never sees newer ones. An empty
-    window gives 0 transactions and risk 0.
+    window gives 0 transactions and risk 0. ``profile`` is a table of ``n_rows`` per key, if
+    the caller has one.
     """
     require_columns(df, key, row_id, ts, "is_fraud")
     timed = df.withColumns(
@@ -278,7 +297,8 @@ def merchant_risk(
             "_bad": F.col("is_fraud").cast("bigint"),
         }
     )
-    ordinary, hot = split_hot(timed, key, max_rows)
+    counts = count_keys(df, key) if profile is None else profile
+    ordinary, hot = split_hot(timed, key, hot_keys(counts, key, max_rows))
     offsets = [delay, *[delay + w for w in windows]]
     sums = ("_n", "_bad")
 

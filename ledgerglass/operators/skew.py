@@ -7,30 +7,25 @@ from pyspark.sql import DataFrame, functions as F, types as T
 MAX_ROWS_PER_KEY = 2_000_000
 
 
-def hot_keys(df: DataFrame, key: str, max_rows: int = MAX_ROWS_PER_KEY) -> DataFrame | None:
-    """The keys with more than ``max_rows`` rows as a small table, or None when there are none.
+def count_keys(df: DataFrame, key: str) -> DataFrame:
+    """(key, n_rows), combined on the map side."""
+    return df.groupBy(key).agg(F.count("*").alias("n_rows"))
 
-    Runs one job that reads the key column only and combines counts on the map side. At
-    most ``rows / max_rows`` keys can come back, so the list is small by construction.
+
+def hot_keys(counts: DataFrame, key: str, max_rows: int = MAX_ROWS_PER_KEY) -> DataFrame | None:
+    """From a table with ``n_rows`` per key: the keys with more rows than that, or None.
+
+    At most ``rows / max_rows`` keys can come back, so the list is small by construction.
     """
-    found = (
-        df.groupBy(F.col(key).alias("_hot"))
-        .agg(F.count("*").alias("_rows"))
-        .where(F.col("_rows") > max_rows)
-        .select("_hot")
-        .collect()
-    )
+    found = counts.where(F.col("n_rows") > max_rows).select(F.col(key).alias("_hot")).collect()
     if not found:
         return None
-    schema = T.StructType([T.StructField("_hot", df.schema[key].dataType)])
-    return df.sparkSession.createDataFrame(found, schema)
+    schema = T.StructType([T.StructField("_hot", counts.schema[key].dataType)])
+    return counts.sparkSession.createDataFrame(found, schema)
 
 
-def split_hot(
-    df: DataFrame, key: str, max_rows: int = MAX_ROWS_PER_KEY
-) -> tuple[DataFrame, DataFrame | None]:
+def split_hot(df: DataFrame, key: str, hot: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
     """(rows of ordinary keys, rows of hot keys or None)."""
-    hot = hot_keys(df, key, max_rows)
     if hot is None:
         return df, None
     same = F.col(key).eqNullSafe(F.col("_hot"))
@@ -40,6 +35,20 @@ def split_hot(
     )
 
 
+def join_per_key(df: DataFrame, table: DataFrame, key: str, hot: DataFrame | None) -> DataFrame:
+    """Left join with a table of one row per key.
+
+    Rows of hot keys meet a broadcast of just those keys' rows, so no task of the shuffle
+    join receives a hot key.
+    """
+    ordinary, heavy = split_hot(df, key, hot)
+    joined = ordinary.join(table, key, "left")
+    if heavy is None:
+        return joined
+    few = table.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hot")), "left_semi")
+    return joined.unionByName(heavy.join(F.broadcast(few), key, "left"))
+
+
 def settle_small(df: DataFrame, max_rows: int = 50_000) -> DataFrame:
     """A fitted table brought in once and marked for broadcast, if it has few enough rows.
 

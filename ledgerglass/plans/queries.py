@@ -188,7 +188,10 @@ def card_daily_count(spark, sf_dir):
 
 @query
 def sparsity(spark, sf_dir):
-    out = rolling.with_sparsity(tx_sales(spark, sf_dir))
+    tx = tx_sales(spark, sf_dir)
+    dates_in_table, out = rolling.count_dates(tx), tx
+    for key, prefix in (("cc_num", "card"), ("merchant", "merchant")):
+        out = rolling.with_sparsity(out, key, prefix, rolling.key_profile(tx, key), dates_in_table)
     return _rounded(out.select("trans_num", *[c for c in out.columns if c.endswith("_sparsity")]), 9)
 
 

@@ -60,10 +60,14 @@ def test_quantiles(spark):
 
 def test_split_hot_keeps_every_row(spark):
     df = spark.createDataFrame([(1,)] * 5 + [(2,)] * 2 + [(None,)] * 4, "k int")
-    cold, hot = skew.split_hot(df, "k", 3)
+    counts = skew.count_keys(df, "k")
+    cold, hot = skew.split_hot(df, "k", skew.hot_keys(counts, "k", 3))
     assert sorted(str(r.k) for r in hot.collect()) == ["1"] * 5 + ["None"] * 4
     assert [r.k for r in cold.collect()] == [2, 2]
-    assert skew.split_hot(df, "k", 100)[1] is None
+    assert skew.hot_keys(counts, "k", 100) is None and skew.split_hot(df, "k", None)[1] is None
+    table = spark.createDataFrame([(1, "x"), (2, "y"), (3, "z")], "k int, v string")
+    joined = skew.join_per_key(df, table, "k", skew.hot_keys(counts, "k", 3)).collect()
+    assert sorted((str(r.k), str(r.v)) for r in joined) == [("1", "x")] * 5 + [("2", "y")] * 2 + [("None", "None")] * 4
 
 
 def test_settle_small(spark):

@@ -65,6 +65,17 @@ def test_feature_build_has_all_inputs(spark, tmp_path):
     assert all(r.merchant_risk_7_day_window == newest.get((r.merchant, r.lat, r.long), 0.0) for r in rows)
 
 
+def test_hot_keys_give_the_same_features(spark):
+    df, gaz = stage(_transactions(spark, 150)), _gaz(spark)
+    fitted = features.fit(df, gaz)
+    plain = features.build_features(df, gaz, fitted, (7, 30)).orderBy("trans_num").collect()
+    # merchants above and cards around the limit
+    split = features.build_features(df, gaz, fitted, (7, 30), max_rows=13).orderBy("trans_num").collect()
+    for a, b in zip(plain, split, strict=True):
+        for name, value in a.asDict().items():
+            assert b[name] == (pytest.approx(value) if isinstance(value, float) else value), name
+
+
 def test_row_order_does_not_matter(spark):
     df, gaz = stage(_transactions(spark, 120)), _gaz(spark)
     fitted = features.fit(df, gaz)
