@@ -52,26 +52,28 @@ def precision_top_k_by_day(
     row_id: str = "trans_num",
     label: str = "is_fraud",
     score: str = "predictions",
+    groups: Sequence[str] = (),
 ) -> DataFrame:
-    """Per day: frauds, frauds among the k highest scores, and their share of k.
+    """Per day (and group): frauds, frauds among the k highest scores, and their share of k.
 
     With k = None each day uses its own number of frauds. A literal k lets Spark keep only
     k rows per day before the shuffle.
     """
-    frauds = df.groupBy(date).agg(F.sum(F.col(label).cast("bigint")).alias("n_fraud"))
+    keys = [*groups, date]
+    total = F.sum(F.col(label).cast("bigint"))
+    frauds = df.groupBy(*keys).agg(total.alias("n_fraud"))
     if k is None:
         place = F.struct((-F.col(score)).alias("s"), F.col(row_id).alias("i"))
-        ranked = rank_within(df.select(date, row_id, label, score), [date], place, "_rank")
-        top = ranked.join(frauds, date).where(F.col("_rank") < F.col("n_fraud"))
-        hits = top.groupBy(date).agg(F.sum(F.col(label).cast("bigint")).alias("n_detected"))
+        ranked = rank_within(df.select(*keys, row_id, label, score), keys, place, "_rank")
+        top = ranked.join(frauds, keys).where(F.col("_rank") < F.col("n_fraud"))
         share = ratio("n_detected", "n_fraud")
     else:
-        order = W.partitionBy(date).orderBy(F.desc(score), row_id)
+        order = W.partitionBy(*keys).orderBy(F.desc(score), row_id)
         top = df.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= k)
-        hits = top.groupBy(date).agg(F.sum(F.col(label).cast("bigint")).alias("n_detected"))
         share = F.col("n_detected") / F.lit(k)
+    hits = top.groupBy(*keys).agg(total.alias("n_detected"))
     return (
-        frauds.join(hits, date, "left")
+        frauds.join(hits, keys, "left")
         .withColumn("n_detected", F.coalesce("n_detected", F.lit(0)).cast("bigint"))
         .withColumn("precision", share)
     )
@@ -91,10 +93,26 @@ def detected_top_k(
     return top.where(F.col(label) == 1).select(date, row_id)
 
 
-def precision_top_k(df: DataFrame, k: int = 100, **columns: str) -> DataFrame:
+def precision_top_k(df: DataFrame, k: int = 100, groups: Sequence[str] = (), **columns: str) -> DataFrame:
     """Mean over the days of the precision among the k highest scores, to three digits."""
-    daily = precision_top_k_by_day(df, k, **columns)
-    return daily.agg(round_half_even(F.avg("precision"), 3).alias(f"precision_top_{k}"))
+    daily = precision_top_k_by_day(df, k, groups=groups, **columns)
+    return daily.groupBy(*groups).agg(round_half_even(F.avg("precision"), 3).alias(f"precision_top_{k}"))
+
+
+def metrics_long(
+    df: DataFrame,
+    label: str = "is_fraud",
+    score: str = "predictions",
+    top_k: Sequence[int] = (50,),
+    groups: Sequence[str] = (),
+) -> DataFrame:
+    """(groups, metric, value) for auc_roc, average_precision, f1_score and precision_top_{k}."""
+    names = ["auc_roc", "average_precision", "f1_score"]
+    long = ranking_metrics(df, label, score, groups).unpivot(list(groups), names, "metric", "value")
+    for k in top_k:
+        one = precision_top_k(df, k, groups, label=label, score=score)
+        long = long.unionByName(one.unpivot(list(groups), [f"precision_top_{k}"], "metric", "value"))
+    return long
 
 
 def metric_table(
@@ -104,15 +122,11 @@ def metric_table(
     top_k: Sequence[int] = (50,),
     rounded: bool = True,
 ) -> DataFrame:
-    """One row with auc_roc, average_precision, f1_score and precision_top_{k} for every k."""
-    ranking = ranking_metrics(df, label, score).select("auc_roc", "average_precision", "f1_score")
-    long = ranking.unpivot([], ranking.columns, "metric", "value")
-    for k in top_k:
-        one = precision_top_k(df, k, label=label, score=score)
-        long = long.unionByName(one.unpivot([], one.columns, "metric", "value"))
+    """The metrics as one row, a column each."""
     names = ["auc_roc", "average_precision", "f1_score", *[f"precision_top_{k}" for k in top_k]]
     value = F.first("value")
-    return long.groupBy().pivot("metric", names).agg(round_half_even(value, 3) if rounded else value)
+    wide = metrics_long(df, label, score, top_k).groupBy().pivot("metric", names)
+    return wide.agg(round_half_even(value, 3) if rounded else value)
 
 
 def confusion(df: DataFrame, predicted: str = "predicted", label: str = "is_fraud") -> DataFrame:

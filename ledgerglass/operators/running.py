@@ -23,32 +23,39 @@ def range_count(df: DataFrame) -> int:
     return max(8, min(4096, int(conf)))
 
 
-def range_cuts(df: DataFrame, order: str, ranges: int, groups: Sequence[str] = ()) -> Column:
-    """Sorted cut points that split the rows into ranges of about equal size, as a constant.
+def range_cuts(
+    df: DataFrame, order: str, ranges: int, block: int, groups: Sequence[str] = ()
+) -> tuple[Column, Column]:
+    """Sorted cut points that split the rows into ranges of about equal size, and every
+    ``block``-th of them, both as constants.
 
     One job keeps the rows with the smallest hash of (groups, order), a uniform sample of
     at most ``SAMPLE_PER_RANGE * ranges`` values, and only every 16th of them comes back.
     (groups, order) should be unique or pre-aggregated.
     """
-    kind = df.schema[order].dataType
+    kind = T.ArrayType(df.schema[order].dataType)
     sample = (
         df.select(F.col(order).alias("_v"), F.xxhash64(*groups, order).alias("_h"))
         .orderBy("_h", "_v")
         .limit(SAMPLE_PER_RANGE * ranges)
         .agg(F.sort_array(F.collect_list("_v")).alias("_s"))
     )
-    every = F.filter("_s", lambda v, i: (i % SAMPLE_PER_RANGE == 0) & (i > 0))
-    found = sample.select(F.to_json(every).alias("cuts")).first().cuts
-    return F.from_json(F.lit(found), T.ArrayType(kind))
+    cuts = sample.select(
+        F.filter("_s", lambda v, i: (i % SAMPLE_PER_RANGE == 0) & (i > 0)).alias("_cuts")
+    )
+    found = cuts.select(
+        F.to_json("_cuts").alias("cuts"),
+        F.to_json(F.filter("_cuts", lambda c, i: (i + 1) % block == 0)).alias("coarse"),
+    ).first()
+    return F.from_json(F.lit(found.cuts), kind), F.from_json(F.lit(found.coarse), kind)
 
 
 def with_range(
     df: DataFrame, order: str, name: str, ranges: int, groups: Sequence[str] = ()
 ) -> DataFrame:
     """Number the ranges of the order column from 0 upwards, by a two-level search of the cuts."""
-    cuts = range_cuts(df, order, ranges, groups)
     value, block = F.col(order), max(2, isqrt(ranges))
-    coarse = F.filter(cuts, lambda c, i: (i + 1) % block == 0)
+    cuts, coarse = range_cuts(df, order, ranges, block, groups)
     first = F.size(F.filter(coarse, lambda c: c <= value)) * block
     return df.withColumn("_first", first).withColumn(
         name,

@@ -49,7 +49,10 @@ def join_per_key(df: DataFrame, table: DataFrame, key: str, hot: DataFrame | Non
     return joined.unionByName(heavy.join(F.broadcast(few), key, "left"))
 
 
-def settle_small(df: DataFrame, max_rows: int = 50_000) -> DataFrame:
+MAX_SETTLED_ROWS = 50_000
+
+
+def settle_small(df: DataFrame, max_rows: int = MAX_SETTLED_ROWS) -> DataFrame:
     """A fitted table brought in once and marked for broadcast, if it has few enough rows.
 
     A larger table is returned as it is, to be joined by shuffle.

@@ -22,6 +22,12 @@ def stage_dir(spark: SparkSession) -> str:
     return _own[0].name
 
 
+def _delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Let the driver remove the table when it ends."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+
+
 def stage(df: DataFrame) -> DataFrame:
     """The same rows read back from parquet.
 
@@ -31,4 +37,5 @@ def stage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{stage_dir(spark)}/staged-{uuid4().hex}"
     df.write.parquet(path)
+    _delete_on_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
