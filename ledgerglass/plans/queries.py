@@ -56,6 +56,12 @@ def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _card_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the card features need, written once because means, profile and windows each read it."""
+    tx = with_distance(tx_sales(spark, sf_dir))
+    return stage(tx.select("trans_num", TS, "cc_num", "city", "amt", "distance"))
+
+
 # --- load, filter, clean ---------------------------------------------------------------
 
 
@@ -162,33 +168,33 @@ def event_type_delayed_risk(spark, sf_dir):
 
 @query
 def card_rolling_amount(spark, sf_dir):
-    out = rolling.card_behaviour(with_distance(tx_sales(spark, sf_dir)), WINDOWS)
+    out = rolling.card_behaviour(_card_rows(spark, sf_dir), WINDOWS)
     kinds = ("sum_amount", "count_amount", "avg_amount", "amount_over_average")
     return _rounded(out.select("trans_num", *[f"{k}_{w}_days" for k in kinds for w in WINDOWS]))
 
 
 @query
 def card_rolling_distance(spark, sf_dir):
-    out = rolling.card_behaviour(with_distance(tx_sales(spark, sf_dir)), WINDOWS)
+    out = rolling.card_behaviour(_card_rows(spark, sf_dir), WINDOWS)
     kinds = ("avg_distance", "distance_over_avg")
     return _rounded(out.select("trans_num", *[f"{k}_{w}_days" for k in kinds for w in WINDOWS]), 4)
 
 
 @query
 def card_gap(spark, sf_dir):
-    out = rolling.card_behaviour(with_distance(tx_sales(spark, sf_dir)), (7,))
+    out = rolling.card_behaviour(_card_rows(spark, sf_dir), (7,))
     return _rounded(out.select("trans_num", "inter_transaction_time_7_days"), 4)
 
 
 @query
 def card_daily_count(spark, sf_dir):
-    out = rolling.card_behaviour(with_distance(tx_sales(spark, sf_dir)), (7,))
+    out = rolling.card_behaviour(_card_rows(spark, sf_dir), (7,))
     return out.select("trans_num", "daily_trans_count")
 
 
 @query
 def sparsity(spark, sf_dir):
-    tx = tx_sales(spark, sf_dir)
+    tx = stage(tx_sales(spark, sf_dir).select("trans_num", TS, "cc_num", "merchant", "amt"))
     dates_in_table, out = rolling.count_dates(tx), tx
     for key, prefix in (("cc_num", "card"), ("merchant", "merchant")):
         out = rolling.with_sparsity(out, key, prefix, rolling.key_profile(tx, key), dates_in_table)
@@ -317,7 +323,7 @@ def city_size(spark, sf_dir):
 
 @query
 def exact_quantiles(spark, sf_dir):
-    tx = tx_sales(spark, sf_dir)
+    tx = stage(tx_sales(spark, sf_dir).select("city_pop", "amt"))
     cuts = running.quantiles(tx, "city_pop", (0.85, 0.99)).withColumn("column_name", F.lit("city_pop"))
     amounts = running.quantiles(tx, "amt", (0.25, 0.5, 0.75, 0.99)).withColumn("column_name", F.lit("amt"))
     return _rounded(cuts.unionByName(amounts))
