@@ -45,6 +45,27 @@ def ranking_metrics(
     )
 
 
+# Spark keeps only the first k rows per partition before the shuffle for k up to this (its default)
+MAX_LIMITED_K = 1000
+
+
+def _top_rows(
+    df: DataFrame, keys: Sequence[str], k: int | None, row_id: str, score: str, own: DataFrame | None = None
+) -> DataFrame:
+    """The k highest scores per group, equal ones by id; with k = None as many as ``own.n_fraud``.
+
+    A large or per-group k ranks by ranges, so that a group is never sorted in one task.
+    """
+    if k is not None and k <= MAX_LIMITED_K:
+        order = W.partitionBy(*keys).orderBy(F.desc(score), row_id)
+        return df.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= k)
+    place = F.struct((-F.col(score)).alias("s"), F.col(row_id).alias("i"))
+    ranked = rank_within(df, keys, place, "_rank")
+    if k is not None:
+        return ranked.where(F.col("_rank") < k)
+    return ranked.join(own, list(keys)).where(F.col("_rank") < F.col("n_fraud"))
+
+
 def precision_top_k_by_day(
     df: DataFrame,
     k: int | None = 100,
@@ -56,22 +77,14 @@ def precision_top_k_by_day(
 ) -> DataFrame:
     """Per day (and group): frauds, frauds among the k highest scores, and their share of k.
 
-    With k = None each day uses its own number of frauds. A literal k lets Spark keep only
-    k rows per day before the shuffle.
+    With k = None each day uses its own number of frauds; a day without any has no precision.
     """
     keys = [*groups, date]
     total = F.sum(F.col(label).cast("bigint"))
     frauds = df.groupBy(*keys).agg(total.alias("n_fraud"))
-    if k is None:
-        place = F.struct((-F.col(score)).alias("s"), F.col(row_id).alias("i"))
-        ranked = rank_within(df.select(*keys, row_id, label, score), keys, place, "_rank")
-        top = ranked.join(frauds, keys).where(F.col("_rank") < F.col("n_fraud"))
-        share = ratio("n_detected", "n_fraud")
-    else:
-        order = W.partitionBy(*keys).orderBy(F.desc(score), row_id)
-        top = df.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= k)
-        share = F.col("n_detected") / F.lit(k)
+    top = _top_rows(df.select(*keys, row_id, label, score), keys, k, row_id, score, frauds)
     hits = top.groupBy(*keys).agg(total.alias("n_detected"))
+    share = ratio("n_detected", "n_fraud") if k is None else F.col("n_detected") / F.lit(k)
     return (
         frauds.join(hits, keys, "left")
         .withColumn("n_detected", F.coalesce("n_detected", F.lit(0)).cast("bigint"))
@@ -88,8 +101,7 @@ def detected_top_k(
     score: str = "predictions",
 ) -> DataFrame:
     """The frauds among the k highest scores of each day, one row each."""
-    order = W.partitionBy(date).orderBy(F.desc(score), row_id)
-    top = df.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= k)
+    top = _top_rows(df.select(date, row_id, label, score), [date], k, row_id, score)
     return top.where(F.col(label) == 1).select(date, row_id)
 
 

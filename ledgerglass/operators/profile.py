@@ -7,7 +7,7 @@ from math import isnan
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerglass.functions.dates import epoch_us
 from ledgerglass.functions.numbers import cents, ratio
@@ -102,8 +102,11 @@ def rates_by_dimension(df: DataFrame, dimensions: dict[str, Column], label: str
         dimension = F.when(hit, n) if dimension is None else dimension.when(hit, n)
         value = F.when(hit, F.col(n)) if value is None else value.when(hit, F.col(n))
     long = counted.select(dimension.alias("dimension"), value.alias("value"), "n", "fraud_rate")
-    share = F.col("n") / F.sum("n").over(W.partitionBy("dimension"))
-    return long.select("dimension", "value", "n", share.alias("share"), "fraud_rate")
+    # one row per dimension
+    totals = long.groupBy("dimension").agg(F.sum("n").alias("_total"))
+    return long.join(F.broadcast(totals), "dimension").select(
+        "dimension", "value", "n", (F.col("n") / F.col("_total")).alias("share"), "fraud_rate"
+    )
 
 
 def first_fraud(df: DataFrame, ts: str = "trans_date_trans_time") -> DataFrame:
@@ -184,14 +187,18 @@ def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     return out
 
 
-def table_profile(df: DataFrame) -> DataFrame:
-    """Long (column_name, stat, value): counts for every column, moments for numeric ones."""
+def table_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
+    """Long (column_name, stat, value): counts for every column, moments for numeric ones.
+
+    Exact distinct counts handle each row once per column; approximate ones take one pass.
+    """
+    distinct = F.approx_count_distinct if approximate else F.countDistinct
     numeric = set(numeric_columns(df))
     stats = {}
     for c in df.columns:
         stats[c, "count"] = F.count(c)
         stats[c, "missing"] = F.count_if(F.col(c).isNull())
-        stats[c, "distinct"] = F.countDistinct(c)
+        stats[c, "distinct"] = distinct(c)
         if c in numeric:
             x = F.col(c).cast("double")
             stats[c, "mean"], stats[c, "std"] = F.avg(x), F.stddev_samp(x)

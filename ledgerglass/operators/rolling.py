@@ -157,7 +157,7 @@ def card_totals(
     )
     hot = (
         _card_totals_hot(hot, key, row_id, windows)
-        .join(per_day, (F.col(key) == F.col("_dk")) & (day == F.col("_dd")), "left")
+        .join(per_day, F.col(key).eqNullSafe(F.col("_dk")) & (day == F.col("_dd")), "left")
         .drop("_dk", "_dd")
     )
     return ordinary.unionByName(hot.withColumns({c: F.col(c).cast("double") for c in money}))

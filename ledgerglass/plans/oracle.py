@@ -369,6 +369,10 @@ SELECT label, predicted, coalesce(n, 0) AS n FROM grid LEFT JOIN c ON label = l
     "fold_metrics": f"WITH {TX}, {FOLDS} SELECT fold, dataset, metric, round(value,9) AS value FROM folds",
     "fold_summary": f"""WITH {TX}, {FOLDS} SELECT metric, round(avg(value) FILTER (dataset='val'),9) AS val_mean, round(stddev_pop(value) FILTER (dataset='val'),9) AS val_std,
 round(avg(value) FILTER (dataset='train'),9) AS train_mean, round(stddev_pop(value) FILTER (dataset='train'),9) AS train_std FROM folds GROUP BY metric""",
+    "sweep_means": f"""WITH {TX}, th AS (SELECT * FROM (VALUES ('0.3', 0.3e0), ('0.5', 0.5e0), ('0.7', 0.7e0)) v(summary, t)),
+f AS (SELECT summary, year(ts) AS y, CAST(sum(CASE WHEN score > t THEN is_fraud ELSE 0 END) AS DOUBLE) AS hit, sum(is_fraud) AS p, sum(CASE WHEN score > t THEN 1 ELSE 0 END) AS al FROM tx, th GROUP BY 1, 2),
+m AS (SELECT summary, 'recall' AS metric, hit/p AS value FROM f UNION ALL SELECT summary, 'precision', hit/al FROM f)
+SELECT summary, 'val' AS dataset, metric, round(avg(value),9) AS mean, round(stddev_pop(value),9) AS std FROM m GROUP BY summary, metric""",
     "ks_drift": f"""WITH {TX}, v AS (SELECT CAST(date_trunc('month', ts) AS DATE) AS m, 'amt' AS feature, CAST(amt AS DOUBLE) AS x FROM tx UNION ALL
 SELECT CAST(date_trunc('month', ts) AS DATE), 'is_fraud', CAST(is_fraud AS DOUBLE) FROM tx),
 sz AS (SELECT m, count(*) AS n FROM v WHERE feature = 'amt' GROUP BY m),

@@ -607,6 +607,23 @@ def fold_summary(spark, sf_dir):
     return _rounded(metrics.side_by_side(metrics.fold_summary(_folds(spark, sf_dir))), 9)
 
 
+@query
+def sweep_means(spark, sf_dir):
+    """Recall and precision of several thresholds per year, then their mean and deviation by threshold."""
+    tx = _scored(spark, sf_dir).withColumns({"split_id": F.year(TS), "dataset": F.lit("val")})
+    runs = None
+    for threshold in (0.3, 0.5, 0.7):
+        hit = F.sum(numbers.to_class("predictions", threshold) * F.col("is_fraud"))
+        one = tx.groupBy("split_id", "dataset").agg(
+            numbers.ratio(hit, F.sum("is_fraud")).alias("recall"),
+            numbers.ratio(hit, F.sum(numbers.to_class("predictions", threshold))).alias("precision"),
+        )
+        long = one.unpivot(["split_id", "dataset"], ["recall", "precision"], "metric", "value")
+        long = long.withColumn("summary", F.lit(str(threshold)))
+        runs = long if runs is None else runs.unionByName(long)
+    return _rounded(models.evaluation_summary(runs), 9)
+
+
 @query
 def ks_drift(spark, sf_dir):
     return _dated(_rounded(drift.ks_drift(tx_sales(spark, sf_dir)), 9), "month")

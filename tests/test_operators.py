@@ -273,6 +273,14 @@ def test_precision_top_k(spark):
     assert table.precision_top_2 == 0.333 and set(table.asDict()) == {"auc_roc", "average_precision", "f1_score", "precision_top_1", "precision_top_2"}
 
 
+def test_large_k_takes_the_ranged_way(spark, monkeypatch):
+    _, df = _scored(spark)
+    want = {r.trans_date: r.n_detected for r in metrics.precision_top_k_by_day(df, 9).collect()}
+    monkeypatch.setattr(metrics, "MAX_LIMITED_K", 5)
+    assert {r.trans_date: r.n_detected for r in metrics.precision_top_k_by_day(df, 9).collect()} == want
+    assert metrics.detected_top_k(df, 9).count() == sum(want.values())
+
+
 def test_top_k_is_limited_before_the_shuffle(spark):
     _, df = _scored(spark)
     plan = metrics.precision_top_k_by_day(df, 5)._jdf.queryExecution().executedPlan().toString()
