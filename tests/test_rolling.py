@@ -98,3 +98,12 @@ def test_one_card_only(spark):
 def test_missing_column(spark):
     with pytest.raises(ValueError, match="merchant"):
         rolling.merchant_risk(spark.range(3))
+
+
+def test_all_windows_share_one_shuffle(spark):
+    df = _frame(spark, _rows())
+    for built in (rolling.card_totals(df, (1, 7, 30)), rolling.merchant_risk(df, 7, (1, 7, 30))):
+        plan = built._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1
+        # a sliding frame would cost rows times window
+        assert "specifiedwindowframe(RangeFrame, -" not in plan
