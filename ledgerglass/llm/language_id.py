@@ -9,8 +9,9 @@ The text models are fitted on a bounded sample: the ``sample`` rows with the sma
 what they declare. Everything else covers all rows. A text's evidence is scaled to at most ``EVIDENCE`` 4-grams,
 because overlapping grams are not independent.
 
-A row is rejected (language ``und``) if its text has no 4-grams, is less likely under every language than under
-an even spread over all grams, or if no language reaches ``LEAST`` of the posterior.
+A row is rejected (language ``und``) if its text has no letters, is less likely under every language than under an even
+spread over all grams, or if no language reaches ``LEAST`` of the posterior. A text too short for a 4-gram rests on
+the other evidence.
 
 Defined results: null text counts as empty, missing declarations, hosts and suffixes are no evidence; repeated rows each
 get a row; without any usable label every row is ``und``; an empty table gives no rows. Working columns have names of
@@ -58,6 +59,12 @@ def grams(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return bucket[place[kept]], np.concatenate([[0], np.cumsum(kept)])[np.concatenate([[0], np.cumsum(count)])]
 
 
+def letters(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Number of letter bytes of each text."""
+    own = ((data >= 65) & (data <= 90)) | ((data >= 97) & (data <= 122)) | (data >= 128)
+    return np.diff(np.concatenate([[0], np.cumsum(own)])[at])
+
+
 def fit(rows: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
     """(languages, log probability of each language's grams). ``rows``: id, text, declared.
 
@@ -105,7 +112,7 @@ def _evidence(names: list[str], table: np.ndarray):
                 if len(some):
                     sums[some] = np.add.reduceat(by_gram[bucket], at[:-1][some], axis=0, dtype=np.float64)
                 text = sums / np.maximum(n, 1)[:, None]
-                known = (n > 0) & (text.max(axis=1, initial=-np.inf) > even)
+                known = (letters(*flat(part)) > 0) & ((n == 0) | (text.max(axis=1, initial=-np.inf) > even))
                 logs = text * np.minimum(n, EVIDENCE)[:, None]
                 own = {c: batch.column(c).slice(first, len(part)).to_pylist() for c in ("declared", "suffix")}
                 for i, name in enumerate(names):

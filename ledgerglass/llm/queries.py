@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from ledgerglass.llm import decontamination, exact_dedup, language_id, license_scan, packing, secret_scan, sharding, token_files
+from ledgerglass.llm import decontamination, exact_dedup, jaccard_join, language_id, license_scan, packing, secret_scan, sharding, token_files
 from ledgerglass.llm.shared import shared_uri
 from ledgerglass.sources.stage import stage
 
@@ -57,6 +57,10 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find_passages(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(_documents(spark, sf_dir)).drop("copy")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -69,5 +73,6 @@ QUERIES = {
         op7_packing,
         op8_secret_scan,
         op9_decontamination,
+        op10_jaccard_join,
     )
 }
