@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ledgerglass.llm.rows import keep_rows, row_key
 from ledgerglass.sources.stage import stage
 
 SPACE = r"[\x20\x09-\x0D]+"
@@ -26,6 +27,7 @@ def normalised(text: Column) -> Column:
 
 
 def _winner() -> list[Column]:
+    """The smallest id, nulls last; a key made by ``row_key`` has a flag for null in front."""
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row"))
     return [first.alias("first"), F.count("*").alias("group_size")]
 
@@ -53,7 +55,4 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents without the rows that ``exact_dedup`` drops, all columns kept."""
-    kept = exact_dedup(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_digest"))
-    same = (F.col(f"`{id_col}`").eqNullSafe(F.col("_id"))) & (F.col("_own") == F.col("_digest"))
-    found = docs.withColumn("_own", F.sha2(normalised(F.col(text_col)), 256)).join(kept, same, "left_semi")
-    return found.dropDuplicates([id_col, "_own"]).drop("_own")
+    return keep_rows(docs, exact_dedup(docs.withColumn("_key", row_key(id_col, text_col)), "_key", text_col), id_col, text_col)

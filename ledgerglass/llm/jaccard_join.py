@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerglass.llm.arrays import mix, ragged, shingles, slices, texts_of
 from ledgerglass.llm.components import components
+from ledgerglass.llm.rows import keep_rows
 from ledgerglass.sources.stage import stage
 
 SHINGLE = 5
@@ -317,7 +318,6 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One document of each group, all columns kept."""
-    kept = jaccard_join(docs, id_col, text_col, **options).where("kept").select(F.col("doc_id").alias("_id"), F.col("copy").alias("_copy"))
-    found = docs.withColumn("_own", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    same = F.col(f"`{id_col}`").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_copy"))
-    return found.join(kept, same, "left_semi").dropDuplicates([id_col, "_own"]).drop("_own")
+    judged = jaccard_join(docs, id_col, text_col, **options)
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "copy")
+    return keep_rows(docs, judged.select(key.alias("doc_id"), "kept"), id_col, text_col)

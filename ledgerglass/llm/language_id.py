@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerglass.llm.arrays import flat, ragged, slices, texts_of
+from ledgerglass.llm.rows import drop_rows, row_key
 from ledgerglass.sources.stage import stage
 
 BITS = 15
@@ -217,3 +218,9 @@ def identify_pages(pages: DataFrame) -> DataFrame:
         F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1),
         F.regexp_extract(host, r"\.([a-z]{2})$", 1),
     )
+
+
+def drop_rejected(docs: DataFrame) -> DataFrame:
+    """The documents whose language is known, all columns kept."""
+    found = identify(docs.withColumn("_key", row_key("doc_id", "text")), "_key", F.col("text"), F.col("lang"), F.col("source"))
+    return drop_rows(docs, found.where("rejected").select(F.col("doc_id").alias("key")))

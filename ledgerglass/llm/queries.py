@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from ledgerglass.llm import decontamination, exact_dedup, jaccard_join, language_id, license_scan, packing, secret_scan, sharding, token_files
+from ledgerglass.llm import decontamination, exact_dedup, jaccard_join, language_id, license_scan, maxent_lm, packing, secret_scan, sharding, token_files
 from ledgerglass.llm.shared import shared_uri
 from ledgerglass.sources.stage import stage
 
@@ -39,6 +39,10 @@ def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify_pages(spark.read.parquet(f"{sf_dir}/pages.parquet")).drop("row").withColumnRenamed("doc_id", "page_id")
 
 
+def op5_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent_lm.score_texts(_documents(spark, sf_dir), maxent_lm.fold())
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_documents(spark, sf_dir))
 
@@ -61,6 +65,12 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(_documents(spark, sf_dir)).drop("copy")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -69,10 +79,12 @@ QUERIES = {
         op3_token_files,
         op4_language_id,
         language_id_pages,
+        op5_maxent_lm,
         op6_exact_dedup,
         op7_packing,
         op8_secret_scan,
         op9_decontamination,
         op10_jaccard_join,
+        pipeline,
     )
 }
