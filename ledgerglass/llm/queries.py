@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 import public_tokenizers
 
 from ledgerglass.llm import decontamination, exact_dedup, jaccard_join, language_id, license_scan, maxent_lm, packing, secret_scan, sharding, token_files
+from ledgerglass.llm.oracle import ORACLE as ORACLE
 from ledgerglass.llm.shared import shared_uri
 from ledgerglass.sources.stage import stage
 
