@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20
+try:
+    _libc = ctypes.CDLL("libc.so.6")
+except OSError:  # another C library: nothing to trim
+    _libc = None
+
+SLICE_BYTES = 1 << 20
 
 
 def texts_of(column: pa.Array) -> pa.LargeStringArray:
@@ -36,6 +42,14 @@ def slices(texts: pa.LargeStringArray, most: int = SLICE_BYTES) -> Iterator[tupl
         last = max(first + 1, int(np.searchsorted(at, at[first] + most, side="right")) - 1)
         yield first, texts.slice(first, last - first)
         first = last
+    release()
+
+
+def release() -> None:
+    """Give freed memory back to the system; an idle worker would keep it."""
+    pa.default_memory_pool().release_unused()
+    if _libc is not None:
+        _libc.malloc_trim(0)
 
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

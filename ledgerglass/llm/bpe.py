@@ -122,5 +122,5 @@ def encoder(path: str) -> Encoder:
 
 def encoded(column: pa.Array, path: str, end: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, ids, offsets) for consecutive rows of a column, a slice at a time."""
-    for first, part in slices(texts_of(column)):
+    for first, part in slices(texts_of(column), 2 << 20):
         yield first, *encoder(path).encode(part, end)

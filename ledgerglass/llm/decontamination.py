@@ -27,6 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerglass.llm.arrays import flat, mix, ragged, slices, texts_of
+from ledgerglass.llm.shared import bounded_batches
 
 Q = 12
 #: Edits allowed for each byte of a passage.
@@ -182,6 +183,7 @@ def find_passages(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
     The benchmark is brought in once, a block at a time, and each block gets a pass of its own.
     """
+    bounded_batches(docs.sparkSession)
     spark = docs.sparkSession
     passages = items.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text).alias("text")).where("text is not null")
     schema = f"doc_id {dict(docs.dtypes)[id_col]}, {MATCHES}"
@@ -232,6 +234,7 @@ def contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", rate: float = EDIT_RATE) -> DataFrame:
     """The documents without any passage, all columns kept; no row leaves its partition."""
+    bounded_batches(docs.sparkSession)
     spark = docs.sparkSession
     passages = items.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text).alias("text")).where("text is not null")
     where = docs.columns.index(text_col)

@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerglass.llm.arrays import mix, ragged, shingles, slices, texts_of
 from ledgerglass.llm.components import components
 from ledgerglass.llm.rows import keep_rows
+from ledgerglass.llm.shared import bounded_batches
 from ledgerglass.sources.stage import stage
 
 SHINGLE = 5
@@ -294,6 +295,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     ``group_id`` is the smallest doc_id of the classes connected by links; the row kept is that document's.
     """
+    bounded_batches(docs.sparkSession)
     own = classes(docs, id_col, text_col)
     firsts = own.where("row = node")
     embedded = firsts.where("embedded is not null").select(F.col("node").alias("class_id"), "embedded")

@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerglass.llm.arrays import flat, ragged, slices, texts_of
 from ledgerglass.llm.rows import drop_rows, row_key
+from ledgerglass.llm.shared import bounded_batches
 from ledgerglass.sources.stage import stage
 
 BITS = 15
@@ -142,6 +143,7 @@ def _total(x: Column) -> Column:
 
 def identify(docs: DataFrame, id_col: str, text: Column, declared: Column, host: Column, domain: Column | None = None, suffix: Column | None = None, sample: int = SAMPLE) -> DataFrame:
     """One row per row: doc_id, language, confidence, text_language, n_grams, rejected."""
+    bounded_batches(docs.sparkSession)
     rows = docs.select(
         F.col(id_col).alias("id"),
         F.monotonically_increasing_id().alias("row"),

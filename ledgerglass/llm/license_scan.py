@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerglass.llm.arrays import flat, mix, ragged, slices, texts_of
+from ledgerglass.llm.shared import bounded_batches
 
 K = 3
 WINDOW = 2
@@ -200,6 +201,7 @@ def search(words: np.ndarray, at: np.ndarray, index: Index) -> Iterator[tuple[in
 
 def scan_licenses(docs: DataFrame, templates: tuple[tuple[str, str, str], ...] = TEMPLATES, least: float = LEAST_COVERAGE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per match: doc_id, license, template, coverage, matched words, span in code points."""
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(build_index(templates))
     schema = f"doc_id {dict(docs.dtypes)[id_col]}, {MATCHES}"
     fields = ["doc_id", *(x.split()[0] for x in MATCHES.split(", "))]

@@ -20,7 +20,7 @@ bytes AS (
     list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda x: ('0x' || x)::UBIGINT) AS b FROM d
 ), c AS (
   SELECT doc_id, key, size,
-    xor(list_reduce(list_prepend(4294967295::UBIGINT, b), lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295::UBIGINT)::BIGINT AS text_crc32
+    xor(list_reduce(list_prepend(4294967295::UBIGINT, b), lambda a, x: xor(a >> 8, t[((xor(a, x) & 255) + 1)::BIGINT])), 4294967295::UBIGINT)::BIGINT AS text_crc32
   FROM bytes, tab
 ), regions AS (SELECT '/r' || r AS path, CASE WHEN r = 4 THEN 1.0 ELSE 10.0 END AS w FROM range(5) x(r)),
 tree AS (

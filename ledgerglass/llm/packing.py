@@ -23,6 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerglass.llm.bpe import encoded
+from ledgerglass.llm.shared import bounded_batches
 from ledgerglass.sources.stage import stage
 
 GROUP = 50_000
@@ -62,6 +63,7 @@ def pack(demand: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def cut(docs: DataFrame, tokenizer: str, end: int, length: int = 2048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The pieces of every document; here each token but the end bears loss."""
 
+    bounded_batches(docs.sparkSession)
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, ids, offsets in encoded(batch.column(1), tokenizer, end):

@@ -1,4 +1,4 @@
-"""Files in the folder that the driver and all executors share."""
+"""Session matters: the folder that the driver and all executors share, and the size of Arrow batches."""
 
 from __future__ import annotations
 
@@ -24,3 +24,16 @@ def open_fs(uri: str):
     from pyarrow import fs
 
     return fs.FileSystem.from_uri(uri)
+
+
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Let texts go to Python at most 4 MB at a time, unless the session has a smaller size already.
+
+    Spark's own limit of 64 MB is held several times over by each task, in the JVM and in Python.
+    """
+    if int(spark.conf.get(BATCH).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(BATCH, BATCH_BYTES)

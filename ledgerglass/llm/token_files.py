@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerglass.llm import elias_fano
 from ledgerglass.llm.bpe import encoded, encoder
-from ledgerglass.llm.shared import open_fs
+from ledgerglass.llm.shared import bounded_batches, open_fs
 from ledgerglass.sources.stage import stage
 
 MAGIC = b"TOKEF001"
@@ -112,6 +112,7 @@ class TokenFile:
 
 def write_token_files(docs: DataFrame, uri: str, tokenizer: str, end: int, files: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Write the files; the manifest (part, file, n_docs, n_tokens), one row per file."""
+    bounded_batches(docs.sparkSession)
     files = files or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def write(batches):
