@@ -5,8 +5,9 @@ Documents with equal words in equal order form a class, and only one of each cla
 chance equal to their similarity. A run starts at a root and samples coordinates by a hash of the node: 1 / threshold
 of them on average. A class follows each sampled coordinate to the child named by the coordinate
 and its value there, so similar classes keep meeting and others part. A node with at most ``SMALL`` classes is
-compared at once by embedding; a larger one is split again, to ``DEPTH`` levels. Runs repeat until a
-pair at the threshold meets with the target recall.
+compared at once by embedding; a larger one is split again, to ``DEPTH`` levels. A node that kept ``ALIKE`` of its
+parent's classes holds classes that are alike, and further splits would only repeat them: it is one cluster as it
+is. Runs repeat until a pair at the threshold meets with the target recall.
 
 Pairs that are similar enough by embedding are joined to clusters, and within a cluster every pair is compared exactly on
 its shingles, so links have no false members. A cluster's sets are cut into blocks by a
@@ -40,6 +41,7 @@ THRESHOLD = 0.8
 COORDINATES = 128
 SMALL = 64
 DEPTH = 6
+ALIKE = 0.75
 RECALL = 0.99
 #: Standard deviations below the threshold at which the embedding still lets a pair pass.
 SLACK = 3.0
@@ -104,7 +106,7 @@ def classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _children(threshold: float, runs: int):
-    """Task: nodes of classes (node, class_id, embedded) to their children; at the root one node for each run."""
+    """Task: nodes of classes (node, class_id, embedded, n: classes of the node) to their children; at the root one node for each run."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -117,13 +119,15 @@ def _children(threshold: float, runs: int):
             row, rank = np.nonzero(np.arange(order.shape[1])[None, :] < np.floor(more)[:, None])
             at = order[row, rank]
             child = mix(mix(node[row] + at.astype(np.uint64)) ^ data[row, at].astype(np.uint64)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(child), batch.column("class_id").take(pa.array(row))], ["node", "class_id"])
+            at = pa.array(row)
+            yield pa.RecordBatch.from_arrays([pa.array(child), batch.column("class_id").take(at), batch.column("n").take(at)], ["node", "class_id", "parent_n"])
 
     def roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for run in range(runs):
                 node = pa.array(np.full(batch.num_rows, mix(np.array([run + 1], np.uint64))[0], np.uint64).view(np.int64))
-                yield from split([pa.RecordBatch.from_arrays([node, batch.column("class_id"), batch.column("embedded")], ["node", "class_id", "embedded"])])
+                whole = pa.array(np.full(batch.num_rows, np.iinfo(np.int64).max))
+                yield from split([pa.RecordBatch.from_arrays([node, batch.column("class_id"), batch.column("embedded"), whole], ["node", "class_id", "embedded", "n"])])
 
     return split, roots
 
@@ -189,33 +193,31 @@ def candidate_links(embedded: DataFrame, threshold: float = THRESHOLD, recall: f
     """Links (a, b) that connect all pairs found by the recursion. ``embedded``: class_id, embedded."""
     split, roots = _children(threshold, n_runs(threshold, recall))
     least = threshold - SLACK * math.sqrt(threshold * (1 - threshold) / COORDINATES)
-    rows = stage(embedded.mapInArrow(roots, "node long, class_id long"))
+    tasks = int(embedded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    schema = "node long, class_id long, parent_n long"
+    rows = stage(embedded.mapInArrow(roots, schema))
     links = None
     for level in range(DEPTH):
         sizes = rows.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")
         together = stage(rows.join(sizes, "node"))
-        small = together if level == DEPTH - 1 else together.where(F.col("n") <= SMALL)
-        if level == DEPTH - 1:
-            # What is still together after all levels is one cluster: the exact comparison follows anyway.
-            big = small.where(F.col("n") > SMALL)
-            found = big.join(big.groupBy("node").agg(F.min("class_id").alias("b")), "node").select(F.col("class_id").alias("a"), "b")
-            small = small.where(F.col("n") <= SMALL)
-            links = found if links is None else links.unionByName(found)
-        tasks = int(embedded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        big = F.col("n") > SMALL
+        # What stays together is one cluster, whose classes are all linked with its first: the exact comparison follows.
+        alike = big & (F.lit(level == DEPTH - 1) | (F.col("n") >= ALIKE * F.col("parent_n")))
+        kept = together.where(alike)
+        found = kept.join(kept.groupBy("node").agg(F.min("class_id").alias("b")), "node").select(F.col("class_id").alias("a"), "b")
         pairs = (
-            small.select("node", "class_id")
+            together.where(~big)
+            .select("node", "class_id")
             .join(embedded, "class_id")
             .repartition(tasks, "node")
             .sortWithinPartitions("node", "class_id")
             .mapInArrow(_candidates(least), "a long, b long")
         )
-        links = pairs if links is None else links.unionByName(pairs)
-        if level == DEPTH - 1:
+        links = pairs.unionByName(found) if links is None else links.unionByName(pairs).unionByName(found)
+        again = together.where(big & ~alike).select("node", "class_id", "n")
+        if again.isEmpty():
             break
-        big = together.where(F.col("n") > SMALL).select("node", "class_id")
-        if big.isEmpty():
-            break
-        rows = stage(big.join(embedded, "class_id").select("node", "class_id", "embedded").mapInArrow(split, "node long, class_id long"))
+        rows = stage(again.join(embedded, "class_id").select("node", "class_id", "embedded", "n").mapInArrow(split, schema))
     return stage(links.distinct())
 
 
