@@ -222,9 +222,9 @@ def candidate_links(embedded: DataFrame, threshold: float = THRESHOLD, recall: f
 
 
 def _exact(threshold: float):
-    """Task: rows of units (unit, part, class_id, shingles), sorted, to counts and links of a spanning forest.
+    """Task: rows of units (unit, part, crossed, class_id, shingles), sorted, to counts and links of a spanning forest.
 
-    ``part`` 0 and 1 are the two blocks of a unit; a unit of one block has part 0 only.
+    A crossed unit has two blocks, ``part`` 0 and 1, and only pairs between them count; either may be empty.
     """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,7 +240,7 @@ def _exact(threshold: float):
             order = np.argsort(code, kind="stable")
             posting, start = owner[order], np.concatenate([[0], np.cumsum(np.bincount(code))])
             at = np.concatenate([[0], np.cumsum(size)])
-            crossed = bool(part.any())
+            crossed = group.column("crossed")[0].as_py()
             count, a, b = np.zeros(len(ids), np.int64), [], []
             for i in range(len(ids)):
                 own = code[at[i] : at[i + 1]]
@@ -286,6 +286,7 @@ def verified_links(texts: DataFrame, clusters: DataFrame, threshold: float = THR
     units = placed.withColumn("other", other).select(
         F.xxhash64("root", F.least("block", "other"), F.greatest("block", "other")).alias("unit"),
         F.when(F.col("block") > F.col("other"), 1).otherwise(0).alias("part"),
+        (F.col("block") != F.col("other")).alias("crossed"),
         "class_id",
         "shingles",
     )
