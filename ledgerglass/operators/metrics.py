@@ -54,12 +54,15 @@ def _top_rows(
 ) -> DataFrame:
     """The k highest scores per group, equal ones by id; with k = None as many as ``own.n_fraud``.
 
-    A large or per-group k ranks by ranges, so that a group is never sorted in one task.
+    Missing scores (null or NaN) come after all others. A large or per-group k ranks by ranges, so that
+    a group is never sorted in one task; the order is the same either way.
     """
+    known = F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double"))
+    lowest_first = F.when(known, -F.col(score))
     if k is not None and k <= MAX_LIMITED_K:
-        order = W.partitionBy(*keys).orderBy(F.desc(score), row_id)
+        order = W.partitionBy(*keys).orderBy(F.asc_nulls_last(lowest_first), row_id)
         return df.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= k)
-    place = F.struct((-F.col(score)).alias("s"), F.col(row_id).alias("i"))
+    place = F.struct((~known).alias("none"), lowest_first.alias("s"), F.col(row_id).alias("i"))
     ranked = rank_within(df, keys, place, "_rank")
     if k is not None:
         return ranked.where(F.col("_rank") < k)
@@ -94,14 +97,20 @@ def precision_top_k_by_day(
 
 def detected_top_k(
     df: DataFrame,
-    k: int = 100,
+    k: int | None = 100,
     date: str = "trans_date",
     row_id: str = "trans_num",
     label: str = "is_fraud",
     score: str = "predictions",
 ) -> DataFrame:
-    """The frauds among the k highest scores of each day, one row each."""
-    top = _top_rows(df.select(date, row_id, label, score), [date], k, row_id, score)
+    """The frauds among the k highest scores of each day, one row each.
+
+    With k = None each day uses its own number of frauds.
+    """
+    own = None
+    if k is None:
+        own = df.groupBy(date).agg(F.sum(F.col(label).cast("bigint")).alias("n_fraud"))
+    top = _top_rows(df.select(date, row_id, label, score), [date], k, row_id, score, own)
     return top.where(F.col(label) == 1).select(date, row_id)
 
 

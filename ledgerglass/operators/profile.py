@@ -7,7 +7,7 @@ from math import isnan
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ledgerglass.functions.dates import epoch_us
 from ledgerglass.functions.numbers import cents, ratio
@@ -102,11 +102,9 @@ def rates_by_dimension(df: DataFrame, dimensions: dict[str, Column], label: str
         dimension = F.when(hit, n) if dimension is None else dimension.when(hit, n)
         value = F.when(hit, F.col(n)) if value is None else value.when(hit, F.col(n))
     long = counted.select(dimension.alias("dimension"), value.alias("value"), "n", "fraud_rate")
-    # one row per dimension
-    totals = long.groupBy("dimension").agg(F.sum("n").alias("_total"))
-    return long.join(F.broadcast(totals), "dimension").select(
-        "dimension", "value", "n", (F.col("n") / F.col("_total")).alias("share"), "fraud_rate"
-    )
+    # over the counts, which are one row per value
+    total = F.sum("n").over(W.partitionBy("dimension"))
+    return long.select("dimension", "value", "n", (F.col("n") / total).alias("share"), "fraud_rate")
 
 
 def first_fraud(df: DataFrame, ts: str = "trans_date_trans_time") -> DataFrame:

@@ -60,7 +60,10 @@ def _by_tag(df: DataFrame, tags: Sequence[int], sums: Sequence[str]) -> DataFram
 
 
 def _card_measures(df: DataFrame, wide: bool) -> tuple[DataFrame, list[str]]:
-    """Integer measure columns; wide sums for keys whose totals may pass 64 bits."""
+    """Integer measure columns; wide sums for keys whose totals may pass 64 bits.
+
+    A row without a time is in nobody's window, so it measures 0.
+    """
     number = "decimal(38,0)" if wide else "bigint"
     made = {
         "_n": F.when(F.col("amt").isNotNull(), 1).otherwise(0).cast("bigint"),
@@ -68,7 +71,8 @@ def _card_measures(df: DataFrame, wide: bool) -> tuple[DataFrame, list[str]]:
         "_nd": F.when(F.col("distance").isNotNull(), 1).otherwise(0).cast("bigint"),
         "_miles": F.round(F.col("distance") * DISTANCE_SCALE).cast("bigint").cast(number),
     }
-    return df.withColumns(made), list(made)
+    timed = F.col("_at").isNotNull()
+    return df.withColumns({c: F.when(timed, x).otherwise(F.lit(0).cast("bigint" if c in ("_n", "_nd") else number)) for c, x in made.items()}), list(made)
 
 
 def _card_totals_ordinary(df: DataFrame, key: str, row_id: str, windows: Sequence[int]) -> DataFrame:
@@ -141,7 +145,10 @@ def card_totals(
     ts: str = "trans_date_trans_time",
     hot: DataFrame | None = None,
 ) -> DataFrame:
-    """Window counts and sums per card, plus ``daily_trans_count`` and the previous time."""
+    """Window counts and sums per card, plus ``daily_trans_count`` and the previous time.
+
+    A row without a time has null windows and is in no other row's.
+    """
     timed = df.withColumn("_at", epoch_us(ts))
     ordinary, hot = split_hot(timed, key, hot)
     day = F.to_date(ts)
@@ -150,8 +157,10 @@ def card_totals(
     )
     money = [f"{c}_{w}" for c in ("_cents", "_miles") for w in windows]
     ordinary = ordinary.withColumns({c: F.col(c).cast("double") for c in money})
+    made = ["daily_trans_count", *[f"{c}_{w}" for c in ("_n", "_cents", "_nd", "_miles") for w in windows]]
+    known = {c: F.when(F.col("_at").isNotNull(), F.col(c)) for c in made}
     if hot is None:
-        return ordinary
+        return ordinary.withColumns(known)
     per_day = hot.groupBy(F.col(key).alias("_dk"), day.alias("_dd")).agg(
         F.count(row_id).alias("daily_trans_count")
     )
@@ -160,7 +169,8 @@ def card_totals(
         .join(per_day, F.col(key).eqNullSafe(F.col("_dk")) & (day == F.col("_dd")), "left")
         .drop("_dk", "_dd")
     )
-    return ordinary.unionByName(hot.withColumns({c: F.col(c).cast("double") for c in money}))
+    both = ordinary.unionByName(hot.withColumns({c: F.col(c).cast("double") for c in money}))
+    return both.withColumns(known)
 
 
 def city_means(df: DataFrame) -> DataFrame:

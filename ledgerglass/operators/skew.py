@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from ledgerglass.sources.stage import stage
+
 MAX_ROWS_PER_KEY = 2_000_000
 
 
@@ -49,15 +51,9 @@ def join_per_key(df: DataFrame, table: DataFrame, key: str, hot: DataFrame | Non
     return joined.unionByName(heavy.join(F.broadcast(few), key, "left"))
 
 
-MAX_SETTLED_ROWS = 50_000
-
-
-def settle_small(df: DataFrame, max_rows: int = MAX_SETTLED_ROWS) -> DataFrame:
-    """A fitted table brought in once and marked for broadcast, if it has few enough rows.
+def settle_small(df: DataFrame) -> DataFrame:
+    """A fitted table, staged once and joined without a hint.
 
-    A larger table is returned as it is, to be joined by shuffle.
+    The planner knows the size of a staged table: it broadcasts one below its threshold and shuffles a larger one.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    return stage(df)

@@ -29,7 +29,7 @@ geo2 AS (SELECT *, 2*asin(sqrt(least(1.0, pow(sin((b2-b1)/2),2)
                 + cos(b1)*cos(b2)*pow(sin((radians(merch_long)-radians(long))/2),2)))) AS sg FROM geo1),
 geo AS (SELECT * EXCLUDE (b1, b2, sg), CASE WHEN sg = 0 THEN 0.0 WHEN sg <= 3.1 THEN
    6378137.0*(sg - (1/298.257223563)/2*((sg-sin(sg))*pow(sin((b1+b2)/2)*cos((b2-b1)/2)/cos(sg/2),2)
-                            +(sg+sin(sg))*pow(cos((b1+b2)/2)*sin((b2-b1)/2)/sin(sg/2),2)))/1609.344 END AS distance FROM geo2)"""
+                            +(sg+sin(sg))*pow(cos((b1+b2)/2)*sin((b2-b1)/2)/sin(sg/2),2)))/1609.344 ELSE 6378137.0*(1-1/298.257223563/3)*sg/1609.344 END AS distance FROM geo2)"""
 
 DAY = 86_400_000_000
 WINDOWS = (7, 30, 90)
@@ -235,8 +235,8 @@ CASE WHEN (event_id % 100003)*7919 % 1000 < 20 THEN 1 ELSE 0 END AS is_fraud FRO
         for w in WINDOWS
     )
     + " FROM card",
-    "card_gap": f"""WITH {TX}, g AS (SELECT trans_num, (us - lag(us) OVER (PARTITION BY cc_num ORDER BY us))/1e6 AS gap FROM tx)
-SELECT trans_num, round(coalesce(gap, (SELECT avg(gap) FROM g)),4) AS inter_transaction_time_7_days FROM g""",
+    "card_gap": f"""WITH {TX}, g AS MATERIALIZED (SELECT trans_num, (us - lag(us) OVER (PARTITION BY cc_num ORDER BY us))/1e6 AS gap FROM tx), m AS MATERIALIZED (SELECT avg(gap) AS mean FROM g)
+SELECT trans_num, round(coalesce(gap, mean),4) AS inter_transaction_time_7_days FROM g, m""",
     "card_daily_count": f"""WITH {TX} SELECT trans_num,
 CAST(count(*) OVER (PARTITION BY cc_num, trans_date) AS BIGINT) AS daily_trans_count FROM tx""",
     "sparsity": f"""WITH {TX}, nd AS (SELECT count(DISTINCT trans_date) AS d FROM tx)

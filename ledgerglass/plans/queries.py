@@ -456,7 +456,7 @@ def label_encode(spark, sf_dir):
 
 @query
 def ordinal_encode(spark, sf_dir):
-    """Codes fitted before 1999 and applied to everything; merchants of later years may be unseen."""
+    """Codes fitted before February 1995 and applied to everything; merchants of later years may be unseen."""
     tx = tx_sales(spark, sf_dir)
     fitted = encoders.fit_codes(tx.where(F.col(TS) < "1995-02-01"), "merchant")
     coded = encoders.encode_ordinal(tx, "merchant", fitted, "merchant_encoded")

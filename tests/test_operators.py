@@ -70,10 +70,18 @@ def test_split_hot_keeps_every_row(spark):
     assert sorted((str(r.k), str(r.v)) for r in joined) == [("1", "x")] * 5 + [("2", "y")] * 2 + [("None", "None")] * 4
 
 
-def test_settle_small(spark):
+def test_settle_small_leaves_the_choice_to_the_planner(spark):
     df = spark.range(10)
-    assert skew.settle_small(df, 10).count() == 10
-    assert skew.settle_small(df, 9) is df
+    small = skew.settle_small(df)
+    assert small.count() == 10
+    keys = spark.range(1000).withColumnRenamed("id", "k")
+    plan = lambda: keys.join(small, keys.k == small.id)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        assert "SortMergeJoin" in plan()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 # --- encoders --------------------------------------------------------------------------------
@@ -407,3 +415,41 @@ def test_train_risk(spark):
     new = spark.createDataFrame([("m", 1.0, 1.0, "x", 0.9), ("m", 2.0, 1.0, "y", 0.9)], "merchant string, lat double, long double, trans_num string, risk double")
     got = {r.trans_num: r.risk for r in with_train_risk(new, train, ["risk"]).collect()}
     assert got == {"x": 0.7, "y": 0.0}
+
+
+def test_missing_scores_come_last_for_every_k(spark, monkeypatch):
+    from ledgerglass.operators import metrics
+
+    rows = [("d", 1, 1, None), ("d", 2, 1, 0.9), ("d", 3, 0, float("nan")), ("d", 4, 1, 0.8), ("d", 5, 0, 0.1)]
+    df = spark.createDataFrame(rows, "trans_date string, trans_num long, is_fraud int, predictions double")
+    for limit in (1000, 0):
+        monkeypatch.setattr(metrics, "MAX_LIMITED_K", limit)
+        day = metrics.precision_top_k_by_day(df, 2).first()
+        assert (day.n_fraud, day.n_detected, day.precision) == (3, 2, 1.0)
+        assert {r.trans_num for r in metrics.detected_top_k(df, 4).collect()} == {2, 4, 1}
+    assert {r.trans_num for r in metrics.detected_top_k(df, None).collect()} == {2, 4}
+
+
+def test_codes_put_nan_last(spark):
+    from ledgerglass.operators.encoders import fit_codes
+
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (0.5,), (2.0,), (None,), (0.5,)], "x double")
+    got = sorted((r.code, str(r.value)) for r in fit_codes(df, "x").collect())
+    assert got == [(0, "0.5"), (1, "1.0"), (2, "2.0"), (3, "nan")]
+
+
+def test_rows_without_time_have_no_window_either_way(spark):
+    from ledgerglass.operators.rolling import card_totals
+    from ledgerglass.operators.skew import count_keys, hot_keys
+
+    rows = [(i, 7, f"2020-01-{1 + i % 5:02d} 00:00:{i:02d}" if i % 4 else None, 10.0 + i, 1.0) for i in range(12)]
+    df = spark.createDataFrame(rows, "trans_num long, cc_num long, t string, amt double, distance double")
+    df = df.withColumn("trans_date_trans_time", F.to_timestamp("t")).drop("t")
+    plain = card_totals(df, [1, 7])
+    hot = hot_keys(count_keys(df, "cc_num"), "cc_num", 0)
+    cut = card_totals(df, [1, 7], hot=hot)
+    names = sorted(set(plain.columns) & set(cut.columns) - {"trans_date_trans_time"})
+    rows_of = lambda d: sorted((tuple(str(v) for v in r) for r in d.select(names).collect()))
+    assert rows_of(plain) == rows_of(cut)
+    for r in plain.collect():
+        assert (r.daily_trans_count is None) == (r.trans_date_trans_time is None) == (r["_n_7"] is None)
