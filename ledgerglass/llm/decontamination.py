@@ -196,7 +196,7 @@ def find_passages(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
             for batch in batches:
                 names = batch.schema.names
                 texts = normal(texts_of(batch.column(1)))
-                for first, part in slices(texts, 2 << 20):
+                for first, part in slices(texts):
                     data, at = flat(part)
                     rows = [(first + t, b.ids[i], s, e, k) for b in shared.value for t, i, s, e, k in search(data, at, b)]
                     if rows:
@@ -244,7 +244,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text",
         def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 keep = np.ones(batch.num_rows, bool)
-                for first, part in slices(normal(texts_of(batch.column(where))), 2 << 20):
+                for first, part in slices(normal(texts_of(batch.column(where)))):
                     data, at = flat(part)
                     for b in shared.value:
                         for match in search(data, at, b):

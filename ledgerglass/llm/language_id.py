@@ -41,6 +41,8 @@ SUFFIX_WEIGHT = 3.0
 STRENGTH = 5.0
 LEAST = 0.5
 UNIT = 1_000_000
+#: Bytes of text that are scored at a time: each 4-gram takes a row of the models, some hundred bytes in all.
+PART_BYTES = 1 << 19
 
 #: Main language of country suffixes.
 SUFFIXES = {"fr": "fr", "de": "de", "at": "de", "es": "es", "mx": "es", "ar": "es", "uk": "en", "us": "en", "au": "en", "ie": "en", "it": "it", "pt": "pt", "br": "pt", "nl": "nl"}
@@ -78,7 +80,7 @@ def fit(rows: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, part in slices(texts_of(batch.column(1))):
+            for first, part in slices(texts_of(batch.column(1)), PART_BYTES):
                 bucket, at = grams(*flat(part))
                 label = np.repeat(np.array(batch.column(0).slice(first, len(part)).to_pylist(), object), np.diff(at))
                 for name in sorted(set(label)):
@@ -106,7 +108,7 @@ def _evidence(names: list[str], table: np.ndarray):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, part in slices(texts_of(batch.column("text")), 2 << 20):
+            for first, part in slices(texts_of(batch.column("text")), PART_BYTES):
                 bucket, at = grams(*flat(part))
                 n = np.diff(at)
                 sums = np.zeros((len(part), len(names)))
