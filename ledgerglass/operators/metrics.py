@@ -52,7 +52,7 @@ MAX_LIMITED_K = 1000
 def _top_rows(
     df: DataFrame, keys: Sequence[str], k: int | None, row_id: str, score: str, own: DataFrame | None = None
 ) -> DataFrame:
-    """The k highest scores per group, equal ones by id; with k = None as many as ``own.n_fraud``.
+    """The k highest scores per group, equal ones by id, with ``_rank`` from 1; with k = None as many as ``own.n_fraud``.
 
     Missing scores (null or NaN) come after all others. A large or per-group k ranks by ranges, so that
     a group is never sorted in one task; the order is the same either way.
@@ -63,10 +63,10 @@ def _top_rows(
         order = W.partitionBy(*keys).orderBy(F.asc_nulls_last(lowest_first), row_id)
         return df.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= k)
     place = F.struct((~known).alias("none"), lowest_first.alias("s"), F.col(row_id).alias("i"))
-    ranked = rank_within(df, keys, place, "_rank")
+    ranked = rank_within(df, keys, place, "_rank").withColumn("_rank", F.col("_rank") + 1)
     if k is not None:
-        return ranked.where(F.col("_rank") < k)
-    return ranked.join(own, list(keys)).where(F.col("_rank") < F.col("n_fraud"))
+        return ranked.where(F.col("_rank") <= k)
+    return ranked.join(own, list(keys)).where(F.col("_rank") <= F.col("n_fraud"))
 
 
 def precision_top_k_by_day(
@@ -114,10 +114,29 @@ def detected_top_k(
     return top.where(F.col(label) == 1).select(date, row_id)
 
 
+def precision_top_ks(
+    df: DataFrame,
+    top_k: Sequence[int],
+    groups: Sequence[str] = (),
+    date: str = "trans_date",
+    row_id: str = "trans_num",
+    label: str = "is_fraud",
+    score: str = "predictions",
+) -> DataFrame:
+    """Mean over the days of the precision among the k highest scores, to three digits, a column for each k.
+
+    Rows are ranked once, for the largest k; each day has a row among them.
+    """
+    keys = [*groups, date]
+    top = _top_rows(df.select(*keys, row_id, label, score), keys, max(top_k), row_id, score)
+    hits = {k: F.sum(F.when(F.col("_rank") <= k, F.col(label).cast("bigint"))) for k in top_k}
+    daily = top.groupBy(*keys).agg(*[(F.coalesce(n, F.lit(0)) / F.lit(k)).alias(f"_p{k}") for k, n in hits.items()])
+    return daily.groupBy(*groups).agg(*[round_half_even(F.avg(f"_p{k}"), 3).alias(f"precision_top_{k}") for k in hits])
+
+
 def precision_top_k(df: DataFrame, k: int = 100, groups: Sequence[str] = (), **columns: str) -> DataFrame:
     """Mean over the days of the precision among the k highest scores, to three digits."""
-    daily = precision_top_k_by_day(df, k, groups=groups, **columns)
-    return daily.groupBy(*groups).agg(round_half_even(F.avg("precision"), 3).alias(f"precision_top_{k}"))
+    return precision_top_ks(df, (k,), groups, **columns)
 
 
 def metrics_long(
@@ -130,10 +149,10 @@ def metrics_long(
     """(groups, metric, value) for auc_roc, average_precision, f1_score and precision_top_{k}."""
     names = ["auc_roc", "average_precision", "f1_score"]
     long = ranking_metrics(df, label, score, groups).unpivot(list(groups), names, "metric", "value")
-    for k in top_k:
-        one = precision_top_k(df, k, groups, label=label, score=score)
-        long = long.unionByName(one.unpivot(list(groups), [f"precision_top_{k}"], "metric", "value"))
-    return long
+    if not top_k:
+        return long
+    tops = precision_top_ks(df, top_k, groups, label=label, score=score)
+    return long.unionByName(tops.unpivot(list(groups), [f"precision_top_{k}" for k in dict.fromkeys(top_k)], "metric", "value"))
 
 
 def metric_table(

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from ledgerglass.functions.dates import epoch_us
 from ledgerglass.functions.numbers import cents, ratio
 from ledgerglass.operators.running import quantiles
-from ledgerglass.operators.skew import settle_small
+from ledgerglass.operators.skew import MAX_ROWS_PER_KEY, hot_keys, join_per_key, settle_small
 from ledgerglass.schema import DAY_US, numeric_columns
 from ledgerglass.sources.stage import stage
 
@@ -112,9 +112,18 @@ def first_fraud(df: DataFrame, ts: str = "trans_date_trans_time") -> DataFrame:
     return df.where("is_fraud = 1").groupBy("cc_num").agg(F.min(ts).alias("first_fraud_date"))
 
 
-def with_first_fraud(df: DataFrame, ts: str = "trans_date_trans_time") -> DataFrame:
-    """Every row with its card's first fraud time; null means never."""
-    return df.join(first_fraud(df, ts), "cc_num", "left")
+def with_first_fraud(df: DataFrame, ts: str = "trans_date_trans_time", max_rows: int = MAX_ROWS_PER_KEY) -> DataFrame:
+    """Every row with its card's first fraud time; null means never.
+
+    One aggregate gives both the first fraud and the row count of a card; rows of cards above the limit
+    meet a broadcast of those cards' rows.
+    """
+    cards = stage(
+        df.groupBy("cc_num").agg(
+            F.min(F.when(F.col("is_fraud") == 1, F.col(ts))).alias("first_fraud_date"), F.count("*").alias("n_rows")
+        )
+    )
+    return join_per_key(df, cards.drop("n_rows"), "cc_num", hot_keys(cards, "cc_num", max_rows))
 
 
 def active_after_fraud(df: DataFrame, days: int = 3, ts: str = "trans_date_trans_time") -> DataFrame:
@@ -224,18 +233,25 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
     )
 
 
-def _equal_bin(df: DataFrame, column: str, bins: int) -> tuple[Column, Column]:
-    """(bin number 0..bins-1, left edge) over the column's own range; the maximum is in the last bin."""
-    low, high = df.agg(F.min(column).cast("double"), F.max(column).cast("double")).first()
-    low = 0.0 if low is None else low
-    width = ((high - low) / bins if high is not None else 0.0) or 1.0
-    number = F.least(F.floor((F.col(column).cast("double") - low) / width), F.lit(bins - 1)).cast("int")
-    return number, F.lit(low) + number * F.lit(width)
+def _equal_bins(df: DataFrame, bins: dict[str, int]) -> list[tuple[Column, Column]]:
+    """Per column (bin number 0..bins-1, left edge) over its own range; the maximum is in the last bin.
+
+    One pass finds the ranges of all columns.
+    """
+    ends = df.agg(*[f(c).cast("double") for c in bins for f in (F.min, F.max)]).first()
+    out = []
+    for i, (column, n) in enumerate(bins.items()):
+        low, high = ends[2 * i], ends[2 * i + 1]
+        low = 0.0 if low is None else low
+        width = ((high - low) / n if high is not None else 0.0) or 1.0
+        number = F.least(F.floor((F.col(column).cast("double") - low) / width), F.lit(n - 1)).cast("int")
+        out.append((number, F.lit(low) + number * F.lit(width)))
+    return out
 
 
 def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
     """Counts over equal-width bins."""
-    number, edge = _equal_bin(df, column, bins)
+    ((number, edge),) = _equal_bins(df, {column: bins})
     return (
         df.where(F.col(column).isNotNull())
         .groupBy(number.alias("bin"))
@@ -245,8 +261,9 @@ def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
 
 def density2d(df: DataFrame, x: str, y: str, x_bins: int = 20, y_bins: int = 20) -> DataFrame:
     """Counts over a rectangular grid."""
-    xn, _ = _equal_bin(df, x, x_bins)
-    yn, _ = _equal_bin(df, y, y_bins)
+    if x == y:
+        raise ValueError("a grid needs two columns")
+    (xn, _), (yn, _) = _equal_bins(df, {x: x_bins, y: y_bins})
     return (
         df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
         .groupBy(xn.alias("x_bin"), yn.alias("y_bin"))

@@ -8,7 +8,9 @@ itself, and the totals of the earlier ranges are added from a small table.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from math import isqrt
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
@@ -161,6 +163,14 @@ def quantiles(
     )
 
 
+def quantiles_of(df: DataFrame, wanted: Mapping[str, Sequence[float]]) -> DataFrame:
+    """Exact quantiles (column_name, probability, quantile) of several columns, from one count of their values."""
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in wanted]).unpivot([], list(wanted), "column_name", "_x")
+    every = sorted({float(p) for ps in wanted.values() for p in ps})
+    asked = [(F.col("column_name") == c) & F.col("probability").isin([float(p) for p in ps]) for c, ps in wanted.items()]
+    return quantiles(long, "_x", every, ("column_name",)).where(reduce(or_, asked))
+
+
 def dense_codes(df: DataFrame, value: str, name: str = "code") -> DataFrame:
     """(value, code): the distinct non-null values numbered from 0 in sorted order."""
     distinct = df.select(value).where(F.col(value).isNotNull()).distinct()

@@ -72,9 +72,9 @@ def load_summary(spark, sf_dir):
 
 @query
 def label_split_counts(spark, sf_dir):
-    tx = tx_sales(spark, sf_dir)
-    side = lambda v: tx.where(F.col("is_fraud") == v).agg(F.count("*").alias("n")).withColumn("is_fraud", F.lit(v))
-    return side(0).unionByName(side(1))
+    sides = [F.count_if(F.col("is_fraud") == v).alias(f"n{v}") for v in (0, 1)]
+    one = tx_sales(spark, sf_dir).agg(*sides)
+    return one.select(F.inline(F.array(*[F.struct(F.col(f"n{v}").alias("n"), F.lit(v).alias("is_fraud")) for v in (0, 1)])))
 
 
 @query
@@ -323,10 +323,9 @@ def city_size(spark, sf_dir):
 
 @query
 def exact_quantiles(spark, sf_dir):
-    tx = stage(tx_sales(spark, sf_dir).select("city_pop", "amt"))
-    cuts = running.quantiles(tx, "city_pop", (0.85, 0.99)).withColumn("column_name", F.lit("city_pop"))
-    amounts = running.quantiles(tx, "amt", (0.25, 0.5, 0.75, 0.99)).withColumn("column_name", F.lit("amt"))
-    return _rounded(cuts.unionByName(amounts))
+    tx = tx_sales(spark, sf_dir).select("city_pop", "amt")
+    wanted = {"city_pop": (0.85, 0.99), "amt": (0.25, 0.5, 0.75, 0.99)}
+    return _rounded(running.quantiles_of(tx, wanted))
 
 
 @query

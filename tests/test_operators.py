@@ -453,3 +453,30 @@ def test_rows_without_time_have_no_window_either_way(spark):
     assert rows_of(plain) == rows_of(cut)
     for r in plain.collect():
         assert (r.daily_trans_count is None) == (r.trans_date_trans_time is None) == (r["_n_7"] is None)
+
+
+def test_first_fraud_of_hot_cards(spark):
+    rows = [(i, 1 if i % 3 else None, f"2020-01-{i + 1:02d} 00:00:00", int(i in (4, 7))) for i in range(12)]
+    df = spark.createDataFrame(rows, "trans_num int, cc_num int, t string, is_fraud int")
+    df = df.withColumn("trans_date_trans_time", F.to_timestamp("t"))
+    found = [
+        {r.trans_num: str(r.first_fraud_date) for r in profile.with_first_fraud(df, max_rows=most).collect()}
+        for most in (0, 10**9)
+    ]
+    assert found[0] == found[1] and len(found[0]) == 12
+    assert found[0][1] == "2020-01-05 00:00:00" and found[0][3] == "None"
+
+
+def test_quantiles_of_several_columns(spark):
+    df = spark.createDataFrame([(1, 10.0), (2, None), (3, 30.0), (4, 50.0)], "a int, b double")
+    got = {(r.column_name, r.probability): r.quantile for r in running.quantiles_of(df, {"a": (0.5,), "b": (0.0, 0.75)}).collect()}
+    assert got == {("a", 0.5): 2.5, ("b", 0.0): 10.0, ("b", 0.75): 40.0}
+
+
+def test_several_k_from_one_ranking(spark):
+    rows = [(d, i, int(i in (1, 4)), float(9 - i)) for d in ("x", "y") for i in range(6)] + [("z", 0, None, None)]
+    df = spark.createDataFrame(rows, "trans_date string, trans_num int, is_fraud int, predictions double")
+    both = metrics.precision_top_ks(df, (2, 5)).first()
+    for k in (2, 5):
+        daily = metrics.precision_top_k_by_day(df, k).agg(F.round(F.avg("precision"), 3)).first()[0]
+        assert both[f"precision_top_{k}"] == daily
