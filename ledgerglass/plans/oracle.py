@@ -199,6 +199,52 @@ def _half_up(x: str) -> str:
     return f"CAST(round(CAST({x} AS DECIMAL(28,10)),4) AS DOUBLE)"
 
 
+ALL_WINDOWS = (1, 7, 30, 90, 180)
+EARLY = "ts < TIMESTAMP '1998-01-01'"
+
+
+def _inputs(rows: str, known: str) -> str:
+    """CTEs up to ``inputs``: every model input of the ``rows``, with codes and city bins learned from the ``known`` ones."""
+    lags = ", ".join(f"lag({x}{w}) OVER o AS l{x}{w}" for w in ALL_WINDOWS for x in "scm")
+    rolls = ", ".join(
+        f"{_card(w, 'sum(cents)')} AS s{w}, {_card(w, 'count(cents)')} AS c{w}, "
+        f"{_card(w, 'sum(CAST(round(distance*1048576) AS BIGINT))')} AS m{w}, {_risk(w)}"
+        for w in ALL_WINDOWS
+    )
+    windows = []
+    for w in ALL_WINDOWS:
+        money, miles = f"coalesce(CAST(ls{w} AS DOUBLE)/100/lc{w}, ca)", f"coalesce(CAST(lm{w} AS DOUBLE)/1048576/lc{w}, cd)"
+        windows.append(
+            f"round(coalesce(CAST(ls{w} AS DOUBLE)/100, 0),6) AS sum_amount_{w}_days, CAST(coalesce(lc{w}, 0) AS BIGINT) AS count_amount_{w}_days, "
+            f"round({money},6) AS avg_amount_{w}_days, round(CAST(amt AS DOUBLE)/{money},6) AS amount_over_average_{w}_days, "
+            f"{_half_up(miles)} AS avg_distance_{w}_days, CASE WHEN distance = 0 AND {miles} = 0 THEN 0.0 WHEN {miles} = 0 THEN CAST('inf' AS DOUBLE) "
+            f"ELSE {_half_up(f'distance/{miles}')} END AS distance_over_avg_{w}_days, "
+            f"round(coalesce((us-prev_us)/1e6, mean_gap),4) AS inter_transaction_time_{w}_days, "
+            f"merchant_num_trans_{w}_day_window, merchant_risk_{w}_day_window"
+        )
+    return f"""jc AS (SELECT geo.*, coalesce(gcat, 'Other') AS job_category FROM geo LEFT JOIN jobcat ON job = gjob),
+src AS MATERIALIZED (SELECT * FROM jc WHERE {rows}), known AS MATERIALIZED (SELECT * FROM jc WHERE {known}),
+jcodes AS (SELECT job_category AS jv, row_number() OVER (ORDER BY job_category) - 1 AS jcode FROM (SELECT DISTINCT job_category FROM known)),
+ccodes AS (SELECT category AS cv, row_number() OVER (ORDER BY category) - 1 AS ccode FROM (SELECT DISTINCT category FROM known)),
+cuts AS (SELECT quantile_cont(city_pop, 0.85) AS qa, quantile_cont(city_pop, 0.99) AS qb FROM known),
+nd AS (SELECT CAST(count(DISTINCT trans_date) AS DOUBLE) AS nd FROM src),
+means AS (SELECT city AS mcity, CAST(sum(cents) AS DOUBLE)/count(*)/100 AS ca, avg(distance) AS cd FROM src GROUP BY city),
+roll AS (SELECT *, {rolls}, count(*) OVER (PARTITION BY cc_num) AS card_n, CAST(sum(cents) OVER (PARTITION BY cc_num) AS DOUBLE) AS card_s,
+ count(*) OVER (PARTITION BY merchant) AS mer_n, CAST(sum(cents) OVER (PARTITION BY merchant) AS DOUBLE) AS mer_s,
+ count(*) OVER (PARTITION BY cc_num, trans_date) AS day_n FROM src),
+lagged AS MATERIALIZED (SELECT *, {lags}, lag(us) OVER o AS prev_us FROM roll WINDOW o AS (PARTITION BY cc_num ORDER BY us)),
+gaps AS (SELECT CAST(sum(us - prev_us) AS DOUBLE)/count(prev_us)/1e6 AS mean_gap FROM lagged),
+inputs AS (SELECT trans_num, city_pop, round(lat,6) AS lat, round(long,6) AS long, round(merch_lat,6) AS merch_lat, round(merch_long,6) AS merch_long,
+CAST(amt AS DOUBLE) AS amt, {_half_up('distance')} AS distance, CASE WHEN gender = 'M' THEN 1 ELSE 0 END AS gender_M,
+coalesce(CAST(jcode AS DOUBLE), -1.0) AS job_encoded, coalesce(CAST(ccode AS DOUBLE), -1.0) AS category_encoded,
+CAST({AGE} AS BIGINT) AS age, CAST(coalesce({AGE_CODE}, 0) AS INTEGER) AS age_group, CASE WHEN city_pop <= qa THEN 0 WHEN city_pop <= qb THEN 1 ELSE 2 END AS city_size,
+CAST(hour(ts) AS INTEGER) AS transaction_hour, CAST(isodow(ts)-1 AS INTEGER) AS transaction_day_of_week, CASE WHEN isodow(ts) >= 6 THEN 1 ELSE 0 END AS is_weekend,
+CASE WHEN hour(ts) >= 22 THEN 2 WHEN hour(ts) <= 3 THEN 1 ELSE 0 END AS is_high_risk_hour, CASE WHEN trans_date IN (SELECT h FROM hol) THEN 1 ELSE 0 END AS is_holiday,
+CAST(day_n AS BIGINT) AS daily_trans_count, round(nd/card_n,6) AS card_count_sparsity, round(nd*100/card_s,6) AS card_amount_sparsity,
+round(nd/mer_n,6) AS merchant_count_sparsity, round(nd*100/mer_s,6) AS merchant_amount_sparsity, {', '.join(windows)}
+FROM lagged JOIN means ON city = mcity LEFT JOIN jcodes ON job_category = jv LEFT JOIN ccodes ON category = cv, cuts, nd, gaps)"""
+
+
 ORACLE = {
     "load_summary": f"WITH {TX} SELECT count(*) AS n_transactions, CAST(sum(is_fraud) AS BIGINT) AS n_fraud FROM tx",
     "label_split_counts": f"WITH {TX} SELECT is_fraud, count(*) AS n FROM tx GROUP BY is_fraud",
@@ -330,20 +376,12 @@ SELECT trans_num, coalesce(CAST(code AS DOUBLE), -1.0) AS merchant_encoded FROM
 last AS (SELECT * FROM tr QUALIFY row_number() OVER (PARTITION BY merchant, lat, long ORDER BY us DESC, trans_num DESC) = 1)
 SELECT t.trans_num, coalesce(l.merchant_risk_7_day_window, 0) AS merchant_risk_7_day_window, coalesce(l.merchant_risk_30_day_window, 0) AS merchant_risk_30_day_window
 FROM (SELECT * FROM tx WHERE ts >= TIMESTAMP '1999-01-01') t LEFT JOIN last l ON t.merchant = l.merchant AND t.lat = l.lat AND t.long = l.long""",
-    "feature_table": f"""WITH {TX}, {GAZ}, {HOLIDAYS}, {GEO},
-jc AS (SELECT geo.*, coalesce(gcat, 'Other') AS job_category FROM geo LEFT JOIN jobcat ON job = gjob),
-q AS (SELECT quantile_cont(city_pop, 0.85) AS qa, quantile_cont(city_pop, 0.99) AS qb, count(DISTINCT trans_date) AS nd FROM tx),
-w AS (SELECT *, {_card(180, 'count(cents)')} AS c180, {_card(90, 'sum(cents)')} AS s90, {_card(30, 'sum(cents)')} AS s30, {_card(30, 'count(cents)')} AS c30, {_risk(180)}, {_risk(90)},
- count(*) OVER (PARTITION BY cc_num) AS card_n, count(*) OVER (PARTITION BY cc_num, trans_date) AS day_n,
- dense_rank() OVER (ORDER BY job_category) - 1 AS jcode, dense_rank() OVER (ORDER BY category) - 1 AS ccode,
- CAST(sum(cents) OVER (PARTITION BY city) AS DOUBLE)/count(*) OVER (PARTITION BY city)/100 AS city_mean FROM jc),
-l AS (SELECT *, lag(c180) OVER o AS lc180, lag(s90) OVER o AS ls90, lag(s30) OVER o AS ls30, lag(c30) OVER o AS lc30 FROM w WINDOW o AS (PARTITION BY cc_num ORDER BY us))
-SELECT trans_num, CASE WHEN gender = 'M' THEN 1 ELSE 0 END AS gender_M, CAST(jcode AS DOUBLE) AS job_encoded, CAST(ccode AS DOUBLE) AS category_encoded,
-CAST(coalesce({AGE_CODE}, 0) AS INTEGER) AS age_group, CASE WHEN city_pop <= qa THEN 0 WHEN city_pop <= qb THEN 1 ELSE 2 END AS city_size,
-CASE WHEN trans_date IN (SELECT h FROM hol) THEN 1 ELSE 0 END AS is_holiday, CAST(day_n AS BIGINT) AS daily_trans_count,
-CAST(coalesce(lc180, 0) AS BIGINT) AS count_amount_180_days, round(coalesce(CAST(ls90 AS DOUBLE)/100, 0),6) AS sum_amount_90_days,
-round(coalesce(CAST(ls30 AS DOUBLE)/100/lc30, city_mean),6) AS avg_amount_30_days,
-merchant_num_trans_180_day_window, merchant_risk_90_day_window, round(CAST(nd AS DOUBLE)/card_n,6) AS card_count_sparsity FROM l, q""",
+    "feature_table": f"WITH {TX}, {GAZ}, {HOLIDAYS}, {GEO}, {_inputs('true', 'true')} SELECT * FROM inputs",
+    "serving_table": f"""WITH {TX}, {GAZ}, {HOLIDAYS}, {GEO}, {_inputs(f"NOT {EARLY}", EARLY)},
+tr AS (SELECT merchant, lat, long, us, trans_num, {', '.join(_risk(w) for w in ALL_WINDOWS)} FROM (SELECT * FROM tx WHERE {EARLY})),
+newest AS (SELECT * FROM tr QUALIFY row_number() OVER (PARTITION BY merchant, lat, long ORDER BY us DESC, trans_num DESC) = 1)
+SELECT i.* REPLACE ({', '.join(f'coalesce(n.merchant_risk_{w}_day_window, 0.0) AS merchant_risk_{w}_day_window' for w in ALL_WINDOWS)})
+FROM inputs i JOIN tx ON i.trans_num = tx.trans_num LEFT JOIN newest n ON tx.merchant = n.merchant AND tx.lat = n.lat AND tx.long = n.long""",
     "split_manifest": f"WITH {TX}, {MANIFEST} SELECT * FROM man",
     "split_rows": f"""WITH {TX}, {MANIFEST}, u AS (SELECT split_id, 'train' AS role, train_start_us AS f, train_end_us AS t FROM man WHERE reason IS NULL
 UNION ALL SELECT split_id, 'val', val_start_us, val_end_us FROM man WHERE reason IS NULL)
@@ -358,6 +396,7 @@ SELECT round(CASE WHEN tp = 0 THEN 0.0 ELSE 2*(tp/al)*(tp/p)/((tp/al)+(tp/p)) EN
     "precision_at_k_day": f"WITH {TX}, {_top('5')} SELECT CAST(trans_date AS VARCHAR) AS trans_date, n_fraud, n_detected, round(n_detected/5,9) AS precision FROM d",
     "precision_at_fraud_count_day": f"WITH {TX}, {_top('nf')} SELECT CAST(trans_date AS VARCHAR) AS trans_date, n_fraud, n_detected, round(CAST(n_detected AS DOUBLE)/nullif(n_fraud,0),9) AS precision FROM d",
     "detected_at_k": f"WITH {TX}, {_top('5')} SELECT CAST(trans_date AS VARCHAR) AS trans_date, trans_num FROM r WHERE rk <= 5 AND is_fraud = 1",
+    "detected_at_fraud_count": f"WITH {TX}, {_top('nf')} SELECT CAST(trans_date AS VARCHAR) AS trans_date, trans_num FROM r WHERE rk <= nf AND is_fraud = 1",
     "precision_at_k_mean": f"WITH {TX}, {_top('5')} SELECT {_even('avg(n_detected/5)', 3)} AS precision_top_5 FROM d",
     "metric_table": f"""WITH {TX}, {_curve()}, {_top('5')}, r2 AS (SELECT trans_date, sum(CASE WHEN rk <= 50 THEN is_fraud END) AS n50 FROM r GROUP BY trans_date)
 SELECT {_even(AUC, 3)} AS auc_roc, {_even(AP, 3)} AS average_precision, {_even(F1, 3)} AS f1_score,

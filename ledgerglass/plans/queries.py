@@ -25,6 +25,7 @@ from ledgerglass.operators import (
 )
 from ledgerglass.plans import features
 from ledgerglass.plans.views import gaz, tx_events, tx_sales
+from ledgerglass.schema import feature_columns
 from ledgerglass.sources.stage import stage
 from ledgerglass.sources.tables import load_summary as summarize_load
 
@@ -564,6 +565,11 @@ def detected_at_k(spark, sf_dir):
     return _dated(metrics.detected_top_k(_scored(spark, sf_dir), 5), "trans_date")
 
 
+@query
+def detected_at_fraud_count(spark, sf_dir):
+    return _dated(metrics.detected_top_k(_scored(spark, sf_dir), None), "trans_date")
+
+
 @query
 def precision_at_k_mean(spark, sf_dir):
     return metrics.precision_top_k(_scored(spark, sf_dir), 5)
@@ -701,25 +707,26 @@ def grid_search(spark, sf_dir):
 # --- whole build -----------------------------------------------------------------------------
 
 
+def _inputs(built: DataFrame) -> DataFrame:
+    """Every model input beside the row's id; distances and gaps to four digits."""
+    built = built.drop("score").withColumn("amt", F.col("amt").cast("double"))
+    digits = {c: 4 if "distance" in c or c.startswith("inter_") else 6 for c, t in built.dtypes if t == "double"}
+    names = ["trans_num", *feature_columns(built)]
+    return built.select(*[F.round(c, digits[c]).alias(c) if c in digits else F.col(c) for c in names])
+
+
 @query
 def feature_table(spark, sf_dir):
+    """All inputs of the training build."""
     tx, listed = stage(tx_sales(spark, sf_dir)), gaz(spark, sf_dir)
-    built = features.build_features(tx, listed, features.fit(tx, listed))
-    return _rounded(
-        built.select(
-            "trans_num",
-            "gender_M",
-            "job_encoded",
-            "category_encoded",
-            "age_group",
-            "city_size",
-            "is_holiday",
-            "daily_trans_count",
-            "count_amount_180_days",
-            "sum_amount_90_days",
-            "avg_amount_30_days",
-            "merchant_num_trans_180_day_window",
-            "merchant_risk_90_day_window",
-            "card_count_sparsity",
-        )
-    )
+    return _inputs(features.build_features(tx, listed, features.fit(tx, listed)))
+
+
+@query
+def serving_table(spark, sf_dir):
+    """All inputs of transactions from 1998 on, with codes, bins and merchant risks of the earlier ones."""
+    tx, listed = stage(tx_sales(spark, sf_dir)), gaz(spark, sf_dir)
+    known, new = tx.where(F.col(TS) < "1998-01-01"), tx.where(F.col(TS) >= "1998-01-01")
+    fitted = features.fit(known, listed)
+    train = features.build_features(known, listed, fitted)
+    return _inputs(features.build_serving_features(new, train, listed, fitted))
