@@ -45,6 +45,44 @@ def slices(texts: pa.LargeStringArray, most: int = SLICE_BYTES) -> Iterator[tupl
     release()
 
 
+BLOCK_BYTES = 4 << 20
+
+
+def blocks(texts: pa.LargeStringArray, border: np.ndarray, most: int = BLOCK_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """(bytes, offsets of the texts in them, number of the first text), about ``most`` bytes at a time.
+
+    Cuts lie between texts or, in a longer text, behind a byte for which ``border`` (a table of 256) is set.
+    """
+    data, at = flat(texts)
+    begin = 0
+    while begin < len(data):
+        end = len(data)
+        if end - begin > most:
+            end = _cut(data, at, border, begin, begin + most)
+        first = int(np.searchsorted(at, begin, side="right")) - 1
+        last = int(np.searchsorted(at, end, side="left"))
+        yield data[begin:end], np.clip(at[first : last + 1], begin, end) - begin, first
+        begin = end
+
+
+def _cut(data: np.ndarray, at: np.ndarray, border: np.ndarray, begin: int, target: int) -> int:
+    """The last end of a text in (begin, target], else of a part of a text, else the first one after it."""
+    text = int(at[np.searchsorted(at, target, side="right") - 1])
+    if text > begin:
+        return text
+    parts = np.flatnonzero(border[data[begin:target]])
+    if len(parts):
+        return begin + int(parts[-1]) + 1
+    ends = int(at[np.searchsorted(at, target, side="left")])
+    while target < ends:
+        stop = min(2 * target - begin, ends)
+        parts = np.flatnonzero(border[data[target:stop]])
+        if len(parts):
+            return target + int(parts[0]) + 1
+        target = stop
+    return ends
+
+
 def release() -> None:
     """Give freed memory back to the system; an idle worker would keep it."""
     pa.default_memory_pool().release_unused()

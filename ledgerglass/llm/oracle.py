@@ -82,4 +82,78 @@ FROM d LEFT JOIN joined USING (doc_id)
 """
 )
 
-ORACLE = {"op2_sharding": OP2, "op6_exact_dedup": OP6, "op8_secret_scan": OP8}
+_CRC = """crc(i, k, v) AS (
+  SELECT i::UBIGINT, 0, i::UBIGINT FROM range(256) r(i)
+  UNION ALL SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384::UBIGINT) ELSE v >> 1 END FROM crc WHERE k < 8
+), tab AS (SELECT list(v ORDER BY i) AS t FROM crc WHERE k = 8)"""
+
+OP12 = (
+    "WITH RECURSIVE "
+    + _CRC
+    + r""", runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents
+), pairs AS (SELECT doc_id, run, count(*) AS n FROM runs GROUP BY ALL),
+bytes AS (
+  SELECT doc_id, run, n, list_transform(regexp_extract_all(hex(encode(doc_id::VARCHAR || ':' || run)), '..'), lambda x: ('0x' || x)::UBIGINT) AS b FROM pairs
+), hashed AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295::UBIGINT, b), lambda a, x: xor(a >> 8, t[((xor(a, x) & 255) + 1)::BIGINT])), 4294967295::UBIGINT)::BIGINT AS h FROM bytes, tab
+), noisy AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run) + 2)::BIGINT) ELSE run END AS word, n FROM hashed
+), words AS (SELECT word, sum(n)::BIGINT AS n FROM noisy WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+keys AS (
+  SELECT word, unnest(list_transform(range(1, length(word) + 1), lambda i: substr(word, 1, i - 1) || '_' || substr(word, i + 1))) AS key FROM words
+  UNION ALL SELECT word, unnest(list_transform(range(1, length(word) + 2), lambda i: substr(word, 1, i - 1) || '_' || substr(word, i))) FROM words
+), near AS (SELECT DISTINCT a.word, b.word AS other FROM keys a JOIN keys b USING (key) WHERE a.word <> b.word),
+best AS (
+  SELECT near.word, count(*) AS n_near, arg_min(other, (-o.n, other)) AS top, max(o.n) AS top_n FROM near JOIN words o ON o.word = other GROUP BY near.word
+), formed AS (
+  SELECT words.word, CASE WHEN top_n >= 5 * n THEN top END AS form, n, coalesce(n_near, 0) AS n_near, CASE WHEN top_n >= 5 * n THEN top_n END AS form_n
+  FROM words LEFT JOIN best USING (word)
+), walk(word, root, next) AS (
+  SELECT word, word, form FROM formed
+  UNION ALL SELECT walk.word, formed.word, formed.form FROM walk JOIN formed ON formed.word = walk.next
+)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN (SELECT word, root FROM walk WHERE next IS NULL) USING (word)
+"""
+)
+
+#: Phrases keep their infrequent words out early: no candidate and no half of one holds any.
+OP13 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), listed AS (SELECT lang, row_number() OVER () AS id, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+placed AS (SELECT lang, id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM listed),
+single AS (SELECT lang, word, count(*) AS a FROM placed GROUP BY ALL),
+sizes AS (SELECT lang, sum(a)::BIGINT AS n FROM single GROUP BY lang),
+good AS (SELECT placed.* FROM placed JOIN single USING (lang, word) WHERE a >= 100),
+runs AS (
+  SELECT lang, word AS w1, [word, lead(word, 1) OVER w, lead(word, 2) OVER w, lead(word, 3) OVER w, lead(word, 4) OVER w] AS w,
+    1 + coalesce(list_sum([(lead(i, 1) OVER w = i + 1)::INT, (lead(i, 2) OVER w = i + 2)::INT, (lead(i, 3) OVER w = i + 3)::INT, (lead(i, 4) OVER w = i + 4)::INT]), 0) AS most
+  FROM good WINDOW w AS (PARTITION BY lang, id ORDER BY i)
+),
+f AS (
+  SELECT lang, g, s, count(*) AS a FROM (SELECT lang, array_to_string(w[1:s], ' ') AS g, s FROM runs, range(1, 6) k(s) WHERE s <= most)
+  GROUP BY ALL HAVING count(*) >= 100
+),
+c AS (SELECT lang, string_split(g, ' ') AS w, s, a FROM f WHERE s > 1),
+held AS (
+  SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS g, max(a) AS most
+  FROM (SELECT *, unnest(range(2, s)) AS k FROM c), range(1, 6) r(i) WHERE i + k - 1 <= s GROUP BY ALL
+),
+cut AS (
+  SELECT c.lang, w, s, a, unnest(range(1, s)) AS k FROM c LEFT JOIN held ON held.lang = c.lang AND held.g = array_to_string(w, ' ')
+  WHERE held.most IS NULL OR 100 * held.most < 100 * a
+),
+scored AS (
+  SELECT cut.lang, array_to_string(cut.w, ' ') AS phrase, cut.k, cut.a, x.a AS l, y.a AS r, n, ((1000::HUGEINT * cut.a * n) // (x.a::HUGEINT * y.a))::BIGINT AS score
+  FROM cut JOIN f x ON x.lang = cut.lang AND x.g = array_to_string(cut.w[1:cut.k], ' ')
+  JOIN f y ON y.lang = cut.lang AND y.g = array_to_string(cut.w[cut.k + 1:cut.s], ' ') JOIN sizes ON sizes.lang = cut.lang
+), worst AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM worst
+)
+SELECT * FROM ranked WHERE rank <= 2000
+"""
+
+ORACLE = {"op2_sharding": OP2, "op6_exact_dedup": OP6, "op8_secret_scan": OP8, "op12_spelling_variants": OP12, "op13_collocations": OP13}

@@ -6,7 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from ledgerglass.llm import decontamination, exact_dedup, jaccard_join, language_id, license_scan, maxent_lm, packing, secret_scan, sharding, token_files
+from ledgerglass.llm import (
+    collocations,
+    decontamination,
+    exact_dedup,
+    jaccard_join,
+    language_id,
+    license_scan,
+    maxent_lm,
+    packing,
+    quality_rules,
+    secret_scan,
+    sharding,
+    spelling_variants,
+    token_files,
+)
 from ledgerglass.llm.oracle import ORACLE as ORACLE
 from ledgerglass.llm.shared import shared_uri
 from ledgerglass.sources.stage import stage
@@ -66,6 +80,18 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(_documents(spark, sf_dir)).drop("copy")
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.filter_quality(_documents(spark, sf_dir))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.variants(spelling_variants.word_counts(_documents(spark, sf_dir), noise=spelling_variants.NOISE))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_documents(spark, sf_dir))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -86,6 +112,9 @@ QUERIES = {
         op8_secret_scan,
         op9_decontamination,
         op10_jaccard_join,
+        op11_quality_rules,
+        op12_spelling_variants,
+        op13_collocations,
         pipeline,
     )
 }
