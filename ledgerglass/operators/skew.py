@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ledgerglass.sources.stage import stage
@@ -51,6 +55,33 @@ def join_per_key(df: DataFrame, table: DataFrame, key: str, hot: DataFrame | Non
     return joined.unionByName(heavy.join(F.broadcast(few), key, "left"))
 
 
+def join_salted(
+    left: DataFrame, right: DataFrame, on: Mapping[str, str], how: str = "inner", max_rows: int = MAX_ROWS_PER_KEY
+) -> DataFrame:
+    """Join on equal columns (left name: right name, dropped) where a key may hold a large part of the left rows.
+
+    Rows of a key with more than ``max_rows`` are dealt over several tasks, and each of them gets a copy of the
+    key's right rows. The list of such keys has at most rows / ``max_rows`` entries, which bounds its broadcast.
+    ``how`` is inner, left, left_semi or left_anti.
+    """
+    names = list(on)
+    counted = left.groupBy(*names).agg(F.count("*").alias("_n")).where(F.col("_n") > max_rows)
+    found = counted.select(*[F.col(c).alias(f"_hot_{c}") for c in names], F.ceil(F.col("_n") / max_rows).cast("int").alias("_parts")).collect()
+    same = reduce(and_, [F.col(a) == F.col(b) for a, b in on.items()])
+    if not found:
+        return left.join(right, same, how).drop(*on.values())
+    schema = T.StructType([*[T.StructField(f"_hot_{c}", left.schema[c].dataType) for c in names], T.StructField("_parts", T.IntegerType())])
+    hot = F.broadcast(left.sparkSession.createDataFrame(found, schema))
+    parts = F.coalesce("_parts", F.lit(1))
+    is_left = reduce(and_, [F.col(c) == F.col(f"_hot_{c}") for c in names])
+    is_right = reduce(and_, [F.col(b) == F.col(f"_hot_{a}") for a, b in on.items()])
+    dealt = left.join(hot, is_left, "left").withColumn("_salt", F.pmod(F.xxhash64(*left.columns) + F.monotonically_increasing_id(), parts).cast("int"))
+    dealt = dealt.drop(*[f"_hot_{c}" for c in names], "_parts")
+    copied = right.join(hot, is_right, "left").withColumn("_copy", F.explode(F.sequence(F.lit(0), parts - 1)))
+    copied = copied.drop(*[f"_hot_{c}" for c in names], "_parts")
+    return dealt.join(copied, same & (F.col("_salt") == F.col("_copy")), how).drop(*on.values(), "_salt", "_copy")
+
+
 def settle_small(df: DataFrame) -> DataFrame:
     """A fitted table, staged once and joined without a hint.
 
