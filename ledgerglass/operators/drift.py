@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from ledgerglass.functions.dates import month_of
 from ledgerglass.operators.running import range_count, with_range
 from ledgerglass.operators.skew import settle_small
 from ledgerglass.sources.stage import stage
 
+#: Samples of up to so many rows get the exact p-value; its work grows with the product of their sizes.
+EXACT_TO = 100
+
 
 def kolmogorov_p(statistic: Column, n1: Column, n2: Column, terms: int = 100) -> Column:
     """Asymptotic two-sample p-value of a KS statistic."""
@@ -23,6 +28,47 @@ def kolmogorov_p(statistic: Column, n1: Column, n2: Column, terms: int = 100) ->
     return F.when(lam < 0.04, 1.0).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), 2 * series)))
 
 
+@F.pandas_udf(T.DoubleType())
+def _exact_p(statistic: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
+    return pd.Series([exact_ks_p(d, int(a), int(b)) for d, a, b in zip(statistic, n1, n2, strict=True)], dtype="float64")
+
+
+def exact_ks_p(statistic: float, n1: int, n2: int) -> float:
+    """P(KS >= statistic) for two samples of one continuous distribution, by counting lattice paths.
+
+    Every order of the two samples is a path from (0, 0) to (n1, n2), and all are equally likely. The paths that
+    stay within ``|i / n1 - j / n2| < statistic`` are counted row by row, as shares of all paths so far.
+    """
+    if n1 == 0 or n2 == 0:
+        return 1.0
+    reach = round(statistic * n1 * n2)  # the statistic is a multiple of 1 / (n1 n2)
+    if reach <= 0:
+        return 1.0
+    j = np.arange(n2 + 1)
+    inside = np.zeros(n2 + 1)
+    for i in range(n1 + 1):
+        keep = np.abs(i * n2 - j * n1) < reach
+        if i == 0:
+            inside[:] = np.where(np.cumprod(keep), 1.0, 0.0)
+            continue
+        # shares: of the paths to (i, j), i / (i + j) come from (i - 1, j) and j / (i + j) from (i, j - 1)
+        low, high = np.flatnonzero(keep)[[0, -1]] if keep.any() else (1, 0)
+        fresh, left = np.zeros(n2 + 1), 0.0
+        for k in range(low, high + 1):
+            left = inside[k] * i / (i + k) + left * k / (i + k)
+            fresh[k] = left
+        inside = fresh
+    return float(min(1.0, max(0.0, 1.0 - inside[n2])))
+
+
+def ks_p_value(statistic: Column, n1: Column, n2: Column, exact_to: int = EXACT_TO) -> Column:
+    """The exact p-value while both samples have at most ``exact_to`` rows, else the asymptotic one."""
+    small = F.greatest(n1, n2) <= exact_to
+    some = lambda c: F.when(small, c)
+    exact = _exact_p(F.coalesce(some(statistic), F.lit(0.0)), F.coalesce(some(n1), F.lit(0)).cast("long"), F.coalesce(some(n2), F.lit(0)).cast("long"))
+    return F.when(small, exact).otherwise(kolmogorov_p(statistic, n1, n2))
+
+
 def _month_pairs(months: DataFrame, lags: Sequence[int]) -> DataFrame:
     """(month, other, lag): every month with the existing ones ``lag`` months before."""
     wanted = months.select("month", F.explode(F.array(*[F.lit(k) for k in lags])).alias("lag")).withColumn(
@@ -37,6 +83,7 @@ def ks_drift(
     lags: Sequence[int] = (1, 2, 3),
     ts: str = "trans_date_trans_time",
     alpha: float = 0.05,
+    exact_to: int = EXACT_TO,
 ) -> DataFrame:
     """KS statistic, p-value and flag for each feature, month and earlier month.
 
@@ -107,12 +154,13 @@ def ks_drift(
         F.max(F.when(F.col("_new") == 0, F.col("_size"))).alias("_n_old"),
     )
     gap = F.abs(F.col("_a_upto") / F.col("_n_new") - F.col("_b_upto") / F.col("_n_old"))
-    p = kolmogorov_p(F.col("ks"), F.col("_n_new"), F.col("_n_old"))
+    p = ks_p_value(F.col("ks"), F.col("_n_new"), F.col("_n_old"), exact_to)
     return (
         walked.join(both, ["month", "lag"])
         .groupBy(*keys, "_n_new", "_n_old")
         .agg(F.max(gap).alias("ks"))
-        .select(*keys, "ks", p.alias("p_value"), (p < alpha).alias("drift"))
+        .select(*keys, "ks", p.alias("p_value"))
+        .withColumn("drift", F.col("p_value") < alpha)
     )
 
 
@@ -128,8 +176,8 @@ def kl_drift(
 
     Every bin gets ``epsilon`` added to its count, so that empty bins stay finite.
     """
-    present = df.where(F.col(feature).isNotNull())
     x = F.col(feature).cast("double")
+    present = stage(df.where(F.col(feature).isNotNull()).select(ts, feature))
     low, high = present.agg(F.min(x), F.max(x)).first()
     low = 0.0 if low is None else low
     width = ((high - low) / bins if high is not None else 0.0) or 1.0

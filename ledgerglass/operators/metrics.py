@@ -13,10 +13,13 @@ from ledgerglass.operators.running import rank_within, running_totals
 def score_curve(
     df: DataFrame, label: str = "is_fraud", score: str = "predictions", groups: Sequence[str] = ()
 ) -> DataFrame:
-    """Per distinct score: rows (_n), positives (_p) and both counts above that score."""
+    """Per distinct score: rows (_n), positives (_p) and both counts above that score.
+
+    Missing scores, null or NaN, are one score below all others, as in the ranking for top-k.
+    """
+    known = F.nanvl(F.col(score).cast("double"), F.lit(None).cast("double"))
     counts = (
-        df.where(F.col(score).isNotNull())
-        .groupBy(*groups, (-F.col(score).cast("double")).alias("_down"))
+        df.groupBy(*groups, F.coalesce(-known, F.lit(float("nan"))).alias("_down"))
         .agg(F.count("*").alias("_n"), F.sum(F.col(label).cast("bigint")).alias("_p"))
     )
     return running_totals(
@@ -33,7 +36,7 @@ def ranking_metrics(
     n, p, n_up, p_up = (F.col(c).cast("double") for c in ("_n", "_p", "_n_above", "_p_above"))
     precision = (p_up + p) / (n_up + n)
     before = F.coalesce(F.try_divide(p_up, n_up), F.lit(1.0))
-    flagged = round_half_even(-F.col("_down")) == 1
+    flagged = round_half_even(F.nanvl(-F.col("_down"), F.lit(0.0))) == 1
     total_p, total_n = F.sum(p), F.sum(n)
     tp = F.coalesce(F.sum(F.when(flagged, p)), F.lit(0.0))
     alarms = F.coalesce(F.sum(F.when(flagged, n)), F.lit(0.0))

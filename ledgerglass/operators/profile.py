@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import isnan
+from math import sqrt
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ledgerglass.functions.dates import epoch_us
 from ledgerglass.functions.numbers import cents, ratio
-from ledgerglass.operators.running import quantiles
+from ledgerglass.operators import comoments
+from ledgerglass.operators.running import quantiles, quantiles_of
 from ledgerglass.operators.skew import MAX_ROWS_PER_KEY, hot_keys, join_per_key, settle_small
 from ledgerglass.schema import DAY_US, numeric_columns
 from ledgerglass.sources.stage import stage
@@ -159,48 +158,36 @@ def monetary_loss(df: DataFrame, predicted: str = "predicted", label: str = "is_
     return df.agg((F.coalesce(F.sum(F.when(missed, cents("amt"))), F.lit(0)) / 100).alias("loss"))
 
 
-def _pearson(a: Column, b: Column) -> Column:
-    """Correlation over the rows with both values; null for a constant side, where corr() would fail."""
-    a, b = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
-    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
-
-
 def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation (a, b, r) of all column pairs; a row lacking a value is left out
-    of the pairs it lacks."""
-    columns = list(columns or numeric_columns(df))
-    x = stage(df.select(*[F.col(c).cast("double").alias(c) for c in columns]))
-    holes = x.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
-    if not any(holes):
-        vectors = VectorAssembler(inputCols=columns, outputCol="_v").transform(x)
-        matrix = Correlation.corr(vectors, "_v").first()[0].toArray()
-        cells = [(a, b, float(matrix[i, j])) for i, a in enumerate(columns) for j, b in enumerate(columns)]
-        # a constant column has no correlation
-        cells = [(a, b, None if isnan(r) else r) for a, b, r in cells]
-        return df.sparkSession.createDataFrame(cells, "a string, b string, r double")
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    out = None
-    # a few pairs per aggregate keep the generated code small enough to be compiled
-    for start in range(0, len(pairs), 8):
-        some = pairs[start : start + 8]
-        one = x.agg(*[_pearson(F.col(a), F.col(b)).alias(f"r{i}") for i, (a, b) in enumerate(some)])
-        cells = [
-            F.struct(F.lit(p).alias("a"), F.lit(q).alias("b"), F.col(f"r{i}").alias("r"))
-            for i, (a, b) in enumerate(some)
-            for p, q in sorted({(a, b), (b, a)})
-        ]
-        part = one.select(F.inline(F.array(*cells)))
-        out = part if out is None else out.unionByName(part)
-    return out
+    of the pairs it lacks. One scan, however many columns."""
+    return comoments.correlations(df, list(columns or numeric_columns(df)))
 
 
-def table_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
-    """Long (column_name, stat, value): counts for every column, moments for numeric ones.
+def frequent_values(df: DataFrame, columns: Sequence[str], support: float = 0.05) -> DataFrame:
+    """(column_name, value, n): every value that more than ``support`` of the rows hold, with its exact count.
+
+    A heavy-hitter summary of all columns names at most ``1 / support`` candidates a column, so the candidates are
+    broadcast; a second pass counts them.
+    """
+    texts = stage(df.select(*[F.col(c).cast("string").alias(c) for c in columns]))
+    summary = texts.stat.freqItems(list(columns), support)
+    named = lambda c: F.transform(F.col(f"`{c}_freqItems`"), lambda v: F.struct(F.lit(c).alias("_c"), v.alias("_v")))
+    candidates = summary.select(F.inline(F.flatten(F.array(*[named(c) for c in columns])))).where("_v IS NOT NULL")
+    long = texts.unpivot([], list(columns), "column_name", "value")
+    counted = long.join(F.broadcast(candidates), (F.col("column_name") == F.col("_c")) & (F.col("value") == F.col("_v")), "left_semi")
+    return counted.groupBy("column_name", "value").agg(F.count("*").alias("n")).where(F.col("n") > support * texts.count())
+
+
+def table_profile(df: DataFrame, approximate: bool = False, support: float = 0.05, top: int = 3) -> DataFrame:
+    """Long (column_name, stat, value, text): type and counts of every column, moments and quartiles of numeric ones,
+    and up to ``top`` values that more than ``support`` of the rows hold (``value`` is their count).
 
     Exact distinct counts handle each row once per column; approximate ones take one pass.
     """
+    df = stage(df)
     distinct = F.approx_count_distinct if approximate else F.countDistinct
-    numeric = set(numeric_columns(df))
+    numeric = numeric_columns(df)
     stats = {}
     for c in df.columns:
         stats[c, "count"] = F.count(c)
@@ -212,15 +199,19 @@ def table_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
             stats[c, "min"], stats[c, "max"] = F.min(x), F.max(x)
     names = list(stats)
     one = df.agg(*[stats[k].cast("double").alias(f"s{i}") for i, k in enumerate(names)])
-    return one.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("column_name"), F.lit(s).alias("stat"), F.col(f"s{i}").alias("value"))
-                    for i, (c, s) in enumerate(names)
-                ]
-            )
-        )
+    row = lambda c, s, value, text: F.struct(F.lit(c).alias("column_name"), F.lit(s).alias("stat"), value.alias("value"), text.alias("text"))
+    nothing = F.lit(None)
+    rows = [row(c, s, F.col(f"s{i}"), nothing.cast("string")) for i, (c, s) in enumerate(names)]
+    rows += [row(c, "type", nothing.cast("double"), F.lit(t)) for c, t in df.dtypes]
+    out = one.select(F.inline(F.array(*rows)))
+    if numeric:
+        names_of = F.when(F.col("probability") == 0.25, "q1").when(F.col("probability") == 0.5, "median").otherwise("q3")
+        quartiles = quantiles_of(df, {c: (0.25, 0.5, 0.75) for c in numeric})
+        out = out.unionByName(quartiles.select("column_name", names_of.alias("stat"), F.col("quantile").alias("value"), nothing.cast("string").alias("text")))
+    place = F.row_number().over(W.partitionBy("column_name").orderBy(F.desc("n"), "value"))  # at most 1 / support rows each
+    frequent = frequent_values(df, df.columns, support).withColumn("_place", place).where(F.col("_place") <= top)
+    return out.unionByName(
+        frequent.select("column_name", F.concat(F.lit("frequent_"), "_place").alias("stat"), F.col("n").cast("double").alias("value"), F.col("value").alias("text"))
     )
 
 
@@ -251,23 +242,57 @@ def _equal_bins(df: DataFrame, bins: dict[str, int]) -> list[tuple[Column, Colum
 
 def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
     """Counts over equal-width bins."""
-    ((number, edge),) = _equal_bins(df, {column: bins})
-    return (
-        df.where(F.col(column).isNotNull())
-        .groupBy(number.alias("bin"))
-        .agg(F.min(edge).alias("bin_start"), F.count("*").alias("n"))
-    )
+    values = stage(df.select(F.col(column).cast("double").alias("x")).where("x IS NOT NULL"))
+    ((number, edge),) = _equal_bins(values, {"x": bins})
+    return values.groupBy(number.alias("bin")).agg(F.min(edge).alias("bin_start"), F.count("*").alias("n"))
 
 
-def density2d(df: DataFrame, x: str, y: str, x_bins: int = 20, y_bins: int = 20) -> DataFrame:
-    """Counts over a rectangular grid."""
+def _points(df: DataFrame, x: str, y: str) -> DataFrame:
+    """The rows with both values, written once: their range and their cells are two passes."""
     if x == y:
         raise ValueError("a grid needs two columns")
-    (xn, _), (yn, _) = _equal_bins(df, {x: x_bins, y: y_bins})
+    both = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+    return stage(both.where("x IS NOT NULL AND y IS NOT NULL"))
+
+
+def density2d(df: DataFrame, x: str, y: str, x_bins: int = 20, y_bins: int = 20) -> DataFrame:
+    """Counts over a rectangular grid."""
+    points = _points(df, x, y)
+    (xn, _), (yn, _) = _equal_bins(points, {"x": x_bins, "y": y_bins})
+    return points.groupBy(xn.alias("x_bin"), yn.alias("y_bin")).agg(F.count("*").alias("n"))
+
+
+def hex_density(df: DataFrame, x: str, y: str, cells: int = 20) -> DataFrame:
+    """Counts over hexagonal cells: (row, column, x_centre, y_centre, n), ``cells`` of them along x.
+
+    The centres form two rectangular lattices, the second moved by half a cell both ways; even rows belong to the
+    first. A point belongs to the nearest centre, the first lattice's at equal distance.
+    """
+    points = _points(df, x, y)
+    ends = points.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).first()
+    low_x, low_y = ends[0] or 0.0, ends[2] or 0.0
+    tall = max(1, int(cells / sqrt(3)))
+    wide_x, wide_y = ((ends[1] or 0.0) - low_x) / cells or 1.0, ((ends[3] or 0.0) - low_y) / tall or 1.0
+    u, v = (F.col("x") - low_x) / wide_x, (F.col("y") - low_y) / wide_y
+    own = {"_u": F.floor(u + 0.5), "_v": F.floor(v + 0.5), "_s": F.floor(u), "_t": F.floor(v)}
+    placed = points.select(u.alias("_x"), v.alias("_y"), *[c.cast("int").alias(n) for n, c in own.items()])
+    near = F.pow(F.col("_x") - F.col("_u"), 2) + 3 * F.pow(F.col("_y") - F.col("_v"), 2)
+    other = F.pow(F.col("_x") - F.col("_s") - 0.5, 2) + 3 * F.pow(F.col("_y") - F.col("_t") - 0.5, 2)
+    first = near <= other
+    cell = placed.select(
+        F.when(first, 2 * F.col("_v")).otherwise(2 * F.col("_t") + 1).alias("row"), F.when(first, F.col("_u")).otherwise(F.col("_s")).alias("column")
+    )
+    shift = F.when(F.col("row") % 2 == 0, 0.0).otherwise(0.5)
     return (
-        df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-        .groupBy(xn.alias("x_bin"), yn.alias("y_bin"))
+        cell.groupBy("row", "column")
         .agg(F.count("*").alias("n"))
+        .select(
+            "row",
+            "column",
+            (F.lit(low_x) + (F.col("column") + shift) * wide_x).alias("x_centre"),
+            (F.lit(low_y) + F.col("row") / 2 * wide_y).alias("y_centre"),
+            "n",
+        )
     )
 
 

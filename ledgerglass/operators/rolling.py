@@ -24,6 +24,7 @@ from ledgerglass.schema import DAY_US, require_columns
 from ledgerglass.sources.stage import stage
 
 DISTANCE_SCALE = 1 << 20  # a power of two, so that scaling back is exact
+TIES = ("amt", "distance")  # order rows of one time and id, so that results do not depend on the input's order
 CARD_WINDOWS = (7, 30, 90, 180)
 RISK_WINDOWS = (1, 7, 30)
 
@@ -79,7 +80,7 @@ def _card_totals_ordinary(df: DataFrame, key: str, row_id: str, windows: Sequenc
     """Adds ``_prev_at`` and, per window, ``{measure}_{w}``: the total over the window that
     ends at the card's previous transaction."""
     df, sums = _card_measures(df, wide=False)
-    in_order = W.partitionBy(key).orderBy("_at", row_id)
+    in_order = W.partitionBy(key).orderBy("_at", row_id, *TIES)
     before = in_order.rowsBetween(W.unboundedPreceding, -1)
     by_time = W.partitionBy(key).orderBy("_at")
     walked = df.select(
@@ -109,12 +110,19 @@ def _card_totals_ordinary(df: DataFrame, key: str, row_id: str, windows: Sequenc
     ).drop(*sums)
 
 
+def _numbered(df: DataFrame) -> DataFrame:
+    """With a row number of our own: ids may repeat or be null."""
+    return stage(df.withColumn("_row", F.monotonically_increasing_id()))
+
+
 def _card_totals_hot(df: DataFrame, key: str, row_id: str, windows: Sequence[int]) -> DataFrame:
     """Same result as ``_card_totals_ordinary``, cutting each key's time line into ranges."""
+    df = _numbered(df)
     measured, sums = _card_measures(df, wide=True)
-    events = measured.select(key, "_at", F.col(row_id).alias("_row"), *sums)
+    order = F.struct("_at", F.col(row_id).alias("_id"), *TIES, "_row")
+    events = measured.select(key, "_at", "_row", order.alias("_order"), *sums)
     walked = running_totals(
-        events.withColumn("_order", F.struct("_at", "_row")),
+        events,
         [key],
         "_order",
         {**{f"{c}_before": ("sum", c) for c in sums}, "_prev_at": ("max", "_at")},
@@ -126,7 +134,7 @@ def _card_totals_hot(df: DataFrame, key: str, row_id: str, windows: Sequence[int
     )
     tails = _by_tag(_cumulative_at(events, probes, key, sums), windows, sums)
     features = walked.join(tails, "_row", "left").select(
-        F.col("_row").alias(row_id),
+        "_row",
         "_prev_at",
         *[
             (F.col(f"{c}_before") - F.coalesce(F.col(f"{c}_{w}"), F.lit(0))).cast("bigint" if c in ("_n", "_nd") else "decimal(38,0)").alias(f"{c}_{w}")
@@ -134,7 +142,7 @@ def _card_totals_hot(df: DataFrame, key: str, row_id: str, windows: Sequence[int
             for w in windows
         ],
     )
-    return df.join(features, row_id)
+    return df.join(features, "_row").drop("_row")
 
 
 def card_totals(
@@ -324,14 +332,15 @@ def merchant_risk(
     if hot is None:
         return ordinary
 
-    events = hot.select(key, "_at", F.col(row_id).alias("_row"), *sums)
+    hot = _numbered(hot)
+    events = hot.select(key, "_at", "_row", *sums)
     probes = events.select(
         key, "_row", F.col("_at").alias("_own"), F.explode(F.array(*[F.lit(o) for o in offsets])).alias("_tag")
     ).withColumn("_at", F.col("_own") - F.col("_tag").cast("bigint") * DAY_US)
     upto = _by_tag(_cumulative_at(events, probes, key, sums), offsets, sums)
     hot = (
         hot.drop(*sums)
-        .join(upto.withColumnRenamed("_row", row_id), row_id)
+        .join(upto, "_row")
         .select(*df.columns, *_risk_columns(windows, delay))
     )
     return ordinary.unionByName(hot)
