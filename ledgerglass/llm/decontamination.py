@@ -2,38 +2,54 @@
 
 A passage of length m within k edits of a region shares at least m + 1 - q (k + 1) of its q-grams with
 the region, and a pair of equal q-grams (i in the passage, j in the text) of one alignment lies on diagonals
-j - i that differ by at most k. So the pairs of a passage are counted in bands of 2 k + 1
-diagonals, each beginning k + 1 after the one before, and limited to the stretch that the passage can
-cover; a band with fewer pairs can hold no match. A band that is left is verified by an alignment of
-the whole passage with the band's stretch of text.
-
-The passages are the query side: they are packed into blocks of ``BLOCK`` q-grams, and every text is held against
-every block, so memory is bounded for any benchmark. Texts are compared in lower case (A-Z) with
-each run of white space as one space, over UTF-8 bytes.
-
-Defined results: null or empty texts and passages match nothing; a passage too short for
-the lemma (below ``(k + 1) q`` bytes) is searched as it is; equal passages each report;
-repeated rows each report; an empty table gives no rows.
+j - i that differ by at most k. A text first needs that many of a passage's places at all; that is counted per
+(text, passage) from the text's distinct q-grams, so a beginning that thousands of passages share costs
+its q-grams once and not once per place in the text. For what is left, pairs are counted in bands of 2 k + 1
+diagonals, each beginning k + 1 after the one before; a band with fewer pairs can hold no match. A band with
+enough is verified by an alignment of the whole passage along the band's diagonals.
+
+One law gives a passage's edits: ``EDIT_RATE`` of its bytes, but no more than the lemma can bear, which is
+one less than the q-grams of ``Q`` bytes that fit side by side. A passage shorter than ``Q`` has q-grams of its own length and
+is found without edits.
+
+The passages are the query side. Spark writes them as index files of ``BLOCK`` q-grams to the shared folder; tasks
+gather texts and hold them against one file after the other, so the corpus is read once and memory is
+bounded, whatever the size of the benchmark. Texts are compared in lower case (A-Z) with each run of white space as
+one space, over UTF-8 bytes.
+
+Defined results: null or empty texts and passages match nothing; matches of one passage in one text do not overlap (exact
+ones count first, then of two the one with fewer edits, or the first); equal passages each report; repeated rows each report; an empty table gives no rows; columns beside
+those named are ignored. A long text is handled in pieces that overlap by more than a match's length.
 """
 
 from __future__ import annotations
 
+import pickle
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerglass.llm.arrays import flat, mix, ragged, slices, texts_of
-from ledgerglass.llm.shared import bounded_batches
+from ledgerglass.llm.arrays import flat, mix, ragged, release, slices, texts_of
+from ledgerglass.llm.shared import bounded_batches, open_fs, shared_uri
+from ledgerglass.sources.stage import stage
 
 Q = 12
-#: Edits allowed for each byte of a passage.
+#: Edits allowed for each byte of a passage, within the lemma's bound.
 EDIT_RATE = 0.06
 #: Q-grams of the passages that are held at a time.
 BLOCK = 1 << 20
+#: Pairs of equal q-grams that are held at a time.
+PAIRS = 1 << 21
+#: Bytes of text that a task holds against one index file after the other.
+GATHERED = 16 << 20
+#: Bytes of text that are searched at a time.
+PIECE = 1 << 20
 FILTER_BITS = 22
 MATCHES = "item_id long, span_start long, span_end long, edits long"
 
@@ -64,166 +80,279 @@ def grams(data: np.ndarray, q: int = Q) -> np.ndarray:
 def edits_within(passage: np.ndarray, region: np.ndarray, most: int) -> tuple[int, int, int] | None:
     """(edits, start, end) of the best match of the whole passage inside the region, if within ``most``.
 
-    Row by row over the passage; start and end in the region are free. The minimum along a row is taken by a running
-    minimum, so a row is a few array operations.
+    Only the diagonals of the region count, and ``most`` on either side: a row of the alignment has as many cells as
+    the region is longer than the passage (plus those). Start and end in the region are free. The minimum along a row
+    is taken by a running minimum, so a row is a few array operations.
     """
-    n = len(region)
-    step = np.arange(n + 1)
-    cost, begin = np.zeros(n + 1, np.int64), step.copy()
+    m, n = len(passage), len(region)
+    wide = np.concatenate([np.full(most, 256, np.int16), region, np.full(max(0, m - n) + most, 256, np.int16)])
+    width = len(wide) - m + 1
+    step = np.arange(width)
+    cost, begin = np.zeros(width, np.int64), step.copy()
     for i, c in enumerate(passage):
-        swap = cost[:-1] + (region != c)
-        down = cost[1:] + 1
+        swap = cost + (wide[i : i + width] != c)
+        down = np.append(cost[1:] + 1, most + i + 2)
         diagonal = swap <= down
-        new = np.concatenate([[i + 1], np.where(diagonal, swap, down)])
-        start = np.concatenate([[begin[0]], np.where(diagonal, begin[:-1], begin[1:])])
-        # new[j] = min over l <= j of new[l] + (j - l)
-        key = (new - step) * (n + 2) + step
+        new = np.where(diagonal, swap, down)
+        start = np.where(diagonal, begin, np.append(begin[1:], width))
+        # new[d] = min over l <= d of new[l] + (d - l)
+        key = (new - step) * (width + 1) + step
         best = np.minimum.accumulate(key)
-        place = best % (n + 2)
-        cost, begin = (best - place) // (n + 2) + step, start[place]
+        place = best % (width + 1)
+        cost, begin = (best - place) // (width + 1) + step, start[place]
         if cost.min() > most:
             return None
     j = int(np.argmin(cost))
-    return int(cost[j]), int(begin[j]), j
+    clip = lambda x: min(max(x - most, 0), n)
+    return int(cost[j]), clip(int(begin[j])), clip(j + m)
+
+
+def edits_of(length: int, rate: float = EDIT_RATE, q: int = Q) -> int:
+    """How many edits a passage of so many bytes may have: the rate, but no more than the lemma bears."""
+    return max(0, min(int(length * rate), length // q - 1))
 
 
 @dataclass
 class Block:
-    """An inverted index of some passages' q-grams."""
+    """An inverted index of some passages' q-grams: distinct grams, and where each one's entries begin."""
 
+    q: int
     ids: list[int]
-    texts: list[np.ndarray]
+    texts: list[bytes]
     edits: np.ndarray
     least: np.ndarray
     gram: np.ndarray
+    begin: np.ndarray
     item: np.ndarray
     place: np.ndarray
-    filter: np.ndarray
-
-
-def blocks(items: list[tuple[int, str]], rate: float = EDIT_RATE, q: int = Q) -> list[Block]:
-    """The passages in blocks of at most ``BLOCK`` q-grams (or one passage)."""
-    out: list[Block] = []
-    part: list[tuple[int, np.ndarray]] = []
-    size = 0
-
-    def close():
-        lengths = np.array([len(t) for _, t in part])
-        edits = (lengths * rate).astype(np.int64)
-        own = [grams(t, q) for _, t in part]
-        gram = np.concatenate(own)
-        item = np.repeat(np.arange(len(part)), [len(g) for g in own])
-        place = np.concatenate([np.arange(len(g)) for g in own])
-        order = np.argsort(gram, kind="stable")
-        bits = np.zeros(1 << FILTER_BITS, bool)
-        bits[gram >> np.uint64(64 - FILTER_BITS)] = True
-        # The lemma's bound is at least 1: a shorter passage is searched without edits.
-        least = lengths + 1 - q * (edits + 1)
-        edits = np.where(least >= 1, edits, 0)
-        least = np.maximum(np.where(least >= 1, least, lengths + 1 - q), 1)
-        out.append(Block([i for i, _ in part], [t for _, t in part], edits, least, gram[order], item[order], place[order], bits))
-
-    texts = normal(texts_of(pa.array([t for _, t in items], pa.string())))
-    data, at = flat(texts)
-    for (item_id, _), a, b in zip(items, at[:-1], at[1:]):
-        if b - a < q:
+
+    def own(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        """(number of each of a passage's grams, its place), by number."""
+        if not hasattr(self, "_order"):
+            self._order = np.argsort(self.item, kind="stable")
+            self._ends = np.searchsorted(self.item[self._order], np.arange(len(self.ids) + 1))
+            self._run = np.repeat(np.arange(len(self.gram)), np.diff(self.begin))
+        some = self._order[self._ends[i] : self._ends[i + 1]]
+        return self._run[some], self.place[some]
+
+    def filter(self) -> np.ndarray:
+        if not hasattr(self, "_bits"):
+            self._bits = np.zeros(1 << FILTER_BITS, bool)
+            self._bits[self.gram >> np.uint64(64 - FILTER_BITS)] = True
+        return self._bits
+
+
+def indexed(items: list[tuple[int, bytes]], q: int, rate: float = EDIT_RATE) -> Block:
+    """The index of normalised passages, all of at least q bytes (or all of exactly q, if q is below ``Q``)."""
+    lengths = np.array([len(t) for _, t in items])
+    edits = np.array([edits_of(n, rate, q) if q == Q else 0 for n in lengths.tolist()])
+    own = [grams(np.frombuffer(t, np.uint8), q) for _, t in items]
+    gram = np.concatenate(own)
+    item = np.repeat(np.arange(len(items)), [len(g) for g in own])
+    place = np.concatenate([np.arange(len(g)) for g in own])
+    order = np.argsort(gram, kind="stable")
+    distinct, begin = np.unique(gram[order], return_index=True)
+    return Block(q, [i for i, _ in items], [t for _, t in items], edits, lengths + 1 - q * (edits + 1), distinct, np.append(begin, len(gram)), item[order], place[order])
+
+
+def blocks(items: Iterator[tuple[int, str]], rate: float = EDIT_RATE, q: int = Q) -> Iterator[Block]:
+    """The passages in blocks of at most ``BLOCK`` q-grams (or one passage); short ones by their length."""
+    held: dict[int, list[tuple[int, bytes]]] = {}
+    size: dict[int, int] = {}
+    for item_id, text in items:
+        raw = normal(texts_of(pa.array([text], pa.string())))[0].as_py().encode()
+        if not raw:
             continue
-        if part and size + b - a > BLOCK:
-            close()
-            part, size = [], 0
-        part.append((item_id, data[a:b].copy()))
-        size += int(b - a)
-    if part:
-        close()
-    return out
-
-
-def search(data: np.ndarray, at: np.ndarray, block: Block, q: int = Q) -> Iterator[tuple[int, int, int, int, int]]:
-    """(text, item, start, end, edits) of the matches in a slice of normalised texts."""
-    gram = grams(data, q)
-    hit = np.flatnonzero(block.filter[(gram >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
-    first = np.searchsorted(block.gram, gram[hit], side="left")
-    count = np.searchsorted(block.gram, gram[hit], side="right") - first
-    hit, first, count = hit[count > 0], first[count > 0], count[count > 0]
+        own = min(q, len(raw))
+        if held.get(own) and size[own] + len(raw) > BLOCK:
+            yield indexed(held.pop(own), own, rate)
+        if own not in held:
+            held[own], size[own] = [], 0
+        held[own].append((item_id, raw))
+        size[own] += len(raw)
+    for own, some in held.items():
+        yield indexed(some, own, rate)
+
+
+# --- the search -----------------------------------------------------------------------------------
+
+
+def _hits(data: np.ndarray, at: np.ndarray, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place, text, number of the gram) of the texts' q-grams that the index holds."""
+    gram = grams(data, block.q)
+    hit = np.flatnonzero(block.filter()[(gram >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
+    run = np.minimum(np.searchsorted(block.gram, gram[hit]), len(block.gram) - 1)
+    known = block.gram[run] == gram[hit]
+    hit, run = hit[known], run[known]
     text = np.searchsorted(at, hit, side="right") - 1
-    inside = hit + q <= at[text + 1]
-    hit, first, count, text = hit[inside], first[inside], count[inside], text[inside]
-    entry = ragged(first, count)
-    hit, text = np.repeat(hit, count), np.repeat(text, count)
-    item, place = block.item[entry], block.place[entry]
-    k = block.edits[item]
-    diagonal = hit - place - at[text] + k  # not negative for a match at the text's start with up to k edits
-    # A pair lies in two bands of 2 k + 1 diagonals, which begin k + 1 apart.
-    band = np.concatenate([diagonal // (k + 1), diagonal // (k + 1) - 1])
-    text, item, hit, place = (np.concatenate([x, x]) for x in (text, item, hit, place))
-    order = np.lexsort((band, item, text))
-    text, item, band = text[order], item[order], band[order]
-    new = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (band[1:] != band[:-1])])) if len(text) else np.zeros(0, np.int64)
-    pairs = np.diff(np.append(new, len(text)))
-    done: dict[tuple[int, int], int] = {}
-    for g in new[pairs >= block.least[item[new]]].tolist():
-        t, i, b = int(text[g]), int(item[g]), int(band[g])
-        k, passage = int(block.edits[i]), block.texts[i]
-        low = max(0, b * (k + 1) - k - k)
-        high = min(int(at[t + 1] - at[t]), (b + 2) * (k + 1) + len(passage) + k)
-        region = data[at[t] + low : at[t] + high]
-        exact = region.tobytes().find(passage.tobytes())
-        found = (0, exact, exact + len(passage)) if exact >= 0 else edits_within(passage, region, k)
-        if found is None:
+    inside = hit + block.q <= at[text + 1]
+    return hit[inside], text[inside], run[inside]
+
+
+def _alive(text: np.ndarray, run: np.ndarray, block: Block) -> Iterator[tuple[int, int]]:
+    """(text, item) where the text has enough of the passage's places; pairs are made for some texts at a time."""
+    n_runs, n_items = len(block.gram), len(block.ids)
+    both = np.unique(text * n_runs + run)
+    text, run = both // n_runs, both % n_runs
+    count = block.begin[run + 1] - block.begin[run]
+    load = np.cumsum(count)
+    low = 0
+    while low < len(text):
+        before = int(load[low - 1]) if low else 0
+        high = max(low + 1, int(np.searchsorted(load, before + PAIRS, side="right")))
+        # a text's grams stay together; alone it has no more pairs than the index has entries
+        last = text[min(high, len(text)) - 1]
+        cut = int(np.searchsorted(text, last, side="left")) if high < len(text) else len(text)
+        high = cut if cut > low else int(np.searchsorted(text, last, side="right"))
+        entry = ragged(block.begin[run[low:high]], count[low:high])
+        key, places = np.unique(np.repeat(text[low:high], count[low:high]) * n_items + block.item[entry], return_counts=True)
+        enough = key[places >= block.least[key % n_items]]
+        yield from zip((enough // n_items).tolist(), (enough % n_items).tolist(), strict=True)
+        low = high
+
+
+def search(data: np.ndarray, at: np.ndarray, block: Block) -> Iterator[tuple[int, int, int, int, int]]:
+    """(text, item, start, end, edits) of the matches in some normalised texts."""
+    hit, text, run = _hits(data, at, block)
+    for t, i in _alive(text, run, block):
+        low, high = np.searchsorted(text, [t, t + 1])
+        own = data[at[t] : at[t + 1]]
+        whole = list(_exact(own.tobytes(), block.texts[i]))
+        yield from ((t, i, start, end, 0) for start, end in whole)
+        if not block.edits[i]:
             continue
-        edits, start, end = found
-        if done.get((t, i), -1) > low + start:
-            continue  # the same match, seen from the next band
-        done[t, i] = low + end
-        yield t, i, low + start, low + end, edits
+        runs, places = block.own(i)
+        first, last = np.searchsorted(runs, run[low:high], "left"), np.searchsorted(runs, run[low:high], "right")
+        some = np.flatnonzero(last > first)
+        spot, first, count = hit[low:high][some] - at[t], first[some], (last - first)[some]
+        held = None
+        for begin, stop in _windows(spot, count, len(block.texts[i]) + 4 * int(block.edits[i])):
+            entry = ragged(first[begin:stop], count[begin:stop])
+            for match in _matches(own, np.repeat(spot[begin:stop], count[begin:stop]), places[entry], block, i):
+                before = bisect_left(whole, (match[1], 0))
+                if before and whole[before - 1][1] > match[0]:
+                    continue  # it overlaps an exact match
+                if held and match[0] >= held[1]:
+                    yield t, i, *held
+                    held = None
+                if held is None or match[2] < held[2]:
+                    held = match
+        if held:
+            yield t, i, *held
+
+
+def _exact(text: bytes, passage: bytes) -> Iterator[tuple[int, int]]:
+    at = text.find(passage)
+    while at >= 0:
+        yield at, at + len(passage)
+        at = text.find(passage, at + len(passage))
+
+
+def _windows(spot: np.ndarray, count: np.ndarray, reach: int) -> Iterator[tuple[int, int]]:
+    """Runs of hits with about ``PAIRS`` pairs each, which overlap by more than a match's length."""
+    load = np.cumsum(count)
+    begin = 0
+    while begin < len(spot):
+        before = int(load[begin - 1]) if begin else 0
+        stop = int(np.searchsorted(load, before + PAIRS, side="right"))
+        stop = min(len(spot), max(stop, int(np.searchsorted(spot, spot[begin] + 3 * reach, side="right"))))
+        yield begin, stop
+        if stop == len(spot):
+            return
+        begin = max(begin + 1, int(np.searchsorted(spot, spot[stop - 1] - 2 * reach, side="left")))
+
+
+def _matches(text: np.ndarray, spot: np.ndarray, place: np.ndarray, block: Block, i: int) -> Iterator[tuple[int, int, int]]:
+    """(start, end, edits) of matches with edits, in order of the bands that have enough pairs."""
+    k, passage = int(block.edits[i]), block.texts[i]
+    letters = np.frombuffer(passage, np.uint8)
+    diagonal = spot - place + k  # not negative for a match at the text's start with up to k edits
+    # A pair lies in two bands of 2 k + 1 diagonals, which begin k + 1 apart.
+    band, pairs = np.unique(np.concatenate([diagonal // (k + 1), diagonal // (k + 1) - 1]), return_counts=True)
+    for b in band[pairs >= block.least[i]].tolist():
+        low = max(0, b * (k + 1) - 2 * k)
+        high = min(len(text), (b + 2) * (k + 1) + len(passage) + k)
+        region = text[low:high]
+        found = None if passage in region.tobytes() else edits_within(letters, region, k)
+        if found:
+            yield low + found[1], low + found[2], found[0]
 
 
-def find_passages(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", rate: float = EDIT_RATE) -> DataFrame:
-    """One row per match: doc_id, item_id, span (bytes of the normalised text) and edits.
+# --- index files and the pass over the corpus -----------------------------------------------------
 
-    The benchmark is brought in once, a block at a time, and each block gets a pass of its own.
-    """
-    bounded_batches(docs.sparkSession)
-    spark = docs.sparkSession
+
+def write_index(items: DataFrame, item_col: str, item_text: str, rate: float) -> list[str]:
+    """Write the passages' index files to the shared folder; their addresses, one per about ``BLOCK`` q-grams."""
+    uri = shared_uri(items.sparkSession, "passages")
     passages = items.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text).alias("text")).where("text is not null")
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, folder = open_fs(uri)
+        part = TaskContext.get().partitionId()
+        rows = ((i, t) for batch in batches for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+        for n, block in enumerate(blocks(rows, rate)):
+            name = f"passages-{part:06d}-{n:06d}"
+            with fs.open_output_stream(f"{folder}/.{name}-{TaskContext.get().taskAttemptId()}") as out:
+                pickle.dump(block, out, protocol=5)
+            fs.move(f"{folder}/.{name}-{TaskContext.get().taskAttemptId()}", f"{folder}/{name}")
+            yield pa.RecordBatch.from_arrays([pa.array([f"{uri}/{name}"])], names=["file"])
+
+    return sorted(r.file for r in stage(passages.mapInArrow(write, "file string")).collect())
+
+
+def _load(uri: str) -> Block:
+    fs, path = open_fs(uri)
+    with fs.open_input_file(path) as file:
+        return pickle.loads(file.read_buffer())
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """Batches brought together until they hold ``GATHERED`` bytes."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.column(column).nbytes
+        if size >= GATHERED:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
+def _scanned(batch: pa.RecordBatch, column: int, files: list[str]) -> Iterator[tuple[int, int, int, int, int]]:
+    """(row, item id, start, end, edits) of a batch's matches."""
+    texts = normal(texts_of(batch.column(column)))
+    for uri in files:
+        block = _LOADED.get(uri) or _load(uri)
+        if len(files) == 1:  # one file serves all batches of the worker
+            _LOADED.clear()
+            _LOADED[uri] = block
+        for first, part in slices(texts, PIECE):
+            data, at = flat(part)
+            for t, i, s, e, k in search(data, at, block):
+                yield first + t, block.ids[i], s, e, k
+    release()
+
+
+_LOADED: dict[str, Block] = {}
+
+
+def find_passages(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", rate: float = EDIT_RATE) -> DataFrame:
+    """One row per match: doc_id, item_id, span (bytes of the normalised text) and edits."""
+    bounded_batches(docs.sparkSession)
+    files = write_index(items, item_col, item_text, rate)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _gathered(batches, 1):
+            rows = list(_scanned(batch, 1, files))
+            if rows:
+                where, *rest = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(where)), *(pa.array(x, pa.int64()) for x in rest)], [batch.schema.names[0], "item_id", "span_start", "span_end", "edits"]
+                )
+
     schema = f"doc_id {dict(docs.dtypes)[id_col]}, {MATCHES}"
-    ids_type = docs.schema[id_col].dataType
-    found = None
-    for group in _groups(passages):
-        shared = spark.sparkContext.broadcast(blocks(group, rate))
-
-        def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                names = batch.schema.names
-                texts = normal(texts_of(batch.column(1)))
-                for first, part in slices(texts):
-                    data, at = flat(part)
-                    rows = [(first + t, b.ids[i], s, e, k) for b in shared.value for t, i, s, e, k in search(data, at, b)]
-                    if rows:
-                        where, *rest = zip(*rows)
-                        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(where)), *(pa.array(x, pa.int64()) for x in rest)], [names[0], "item_id", "span_start", "span_end", "edits"])
-
-        part = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(scan, schema)
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        from pyspark.sql import types as T
-
-        fields = [T.StructField("doc_id", ids_type), *(T.StructField(x.split()[0], T.LongType()) for x in MATCHES.split(", "))]
-        return spark.createDataFrame([], T.StructType(fields))
-    return found
-
-
-def _groups(passages: DataFrame) -> Iterator[list[tuple[int, str]]]:
-    """The passages in lists of about ``BLOCK`` characters, brought in one after the other."""
-    group, size = [], 0
-    for row in passages.orderBy("item_id", "text").toLocalIterator():
-        group.append((row["item_id"], row["text"]))
-        size += len(row["text"])
-        if size >= BLOCK:
-            yield group
-            group, size = [], 0
-    if group:
-        yield group
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(scan, schema)
 
 
 def contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
@@ -235,21 +364,14 @@ def contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
 def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", rate: float = EDIT_RATE) -> DataFrame:
     """The documents without any passage, all columns kept; no row leaves its partition."""
     bounded_batches(docs.sparkSession)
-    spark = docs.sparkSession
-    passages = items.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text).alias("text")).where("text is not null")
+    files = write_index(items, item_col, item_text, rate)
     where = docs.columns.index(text_col)
-    for group in _groups(passages):
-        shared = spark.sparkContext.broadcast(blocks(group, rate))
-
-        def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                keep = np.ones(batch.num_rows, bool)
-                for first, part in slices(normal(texts_of(batch.column(where)))):
-                    data, at = flat(part)
-                    for b in shared.value:
-                        for match in search(data, at, b):
-                            keep[first + match[0]] = False
-                yield batch.filter(pa.array(keep))
-
-        docs = docs.mapInArrow(clean, docs.schema)
-    return docs
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _gathered(batches, where):
+            keep = np.ones(batch.num_rows, bool)
+            for match in _scanned(batch, where, files):
+                keep[match[0]] = False
+            yield batch.filter(pa.array(keep))
+
+    return docs.mapInArrow(clean, docs.schema)
