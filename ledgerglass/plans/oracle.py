@@ -173,17 +173,29 @@ def _corr_rows(cols, source: str = "tx") -> str:
 
 def _profile_rows() -> str:
     out = []
-    for c in ("cc_num", "merchant", "category", "gender", "city_pop", "amt", "is_fraud"):
+    types = {"cc_num": "bigint", "merchant": "string", "category": "string", "gender": "string", "city_pop": "bigint", "amt": "decimal(18,2)", "is_fraud": "int"}
+    for c, kind in types.items():
         stats = {"count": f"count({c})", "missing": f"count(*)-count({c})", "distinct": f"count(DISTINCT {c})"}
-        if c not in ("merchant", "category", "gender"):
+        if kind != "string":
             x = f"CAST({c} AS DOUBLE)"
             stats |= {"mean": f"avg({x})", "std": f"stddev_samp({x})", "min": f"min({x})", "max": f"max({x})"}
+            stats |= {n: f"quantile_cont({x}, {q})" for n, q in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))}
         out += [
-            f"SELECT '{c}' AS column_name, '{s}' AS stat, round(CAST({e} AS DOUBLE),4) AS value FROM holed" for s, e in stats.items()
+            f"SELECT '{c}' AS column_name, '{s}' AS stat, round(CAST({e} AS DOUBLE),4) AS value, CAST(NULL AS VARCHAR) AS text FROM holed" for s, e in stats.items()
         ]
+        out.append(f"SELECT '{c}', 'type', CAST(NULL AS DOUBLE), '{kind}'")
+        out.append(
+            f"SELECT '{c}', 'frequent_' || rank, n, v FROM (SELECT CAST({c} AS VARCHAR) AS v, CAST(count(*) AS DOUBLE) AS n, "
+            f"row_number() OVER (ORDER BY count(*) DESC, CAST({c} AS VARCHAR)) AS rank FROM holed WHERE {c} IS NOT NULL GROUP BY 1 "
+            f"HAVING count(*) > 0.05e0*(SELECT count(*) FROM holed)) WHERE rank <= 3"
+        )
     return " UNION ALL ".join(out)
 
 
+#: buckets of a quantile sketch grow by this factor
+GAMMA = "(1.01e0/0.99e0)"
+
+
 def _rates(dims: dict[str, str], source: str) -> str:
     return " UNION ALL ".join(
         f"SELECT '{d}' AS dimension, CAST({e} AS VARCHAR) AS value, count(*) AS n, "
@@ -281,8 +293,38 @@ CASE WHEN (event_id % 100003)*7919 % 1000 < 20 THEN 1 ELSE 0 END AS is_fraud FRO
         for w in WINDOWS
     )
     + " FROM card",
-    "card_gap": f"""WITH {TX}, g AS MATERIALIZED (SELECT trans_num, (us - lag(us) OVER (PARTITION BY cc_num ORDER BY us))/1e6 AS gap FROM tx), m AS MATERIALIZED (SELECT avg(gap) AS mean FROM g)
-SELECT trans_num, round(coalesce(gap, mean),4) AS inter_transaction_time_7_days FROM g, m""",
+    "card_gap": f"""WITH {TX} SELECT trans_num, round(coalesce(gap, avg(gap) OVER ()),4) AS inter_transaction_time_7_days
+FROM (SELECT trans_num, (us - lag(us) OVER (PARTITION BY cc_num ORDER BY us))/1e6 AS gap FROM tx)""",
+    "carried_windows": f"WITH {TX}, {GEO}, {_card_cte()}, risks AS (SELECT trans_num AS id, {_risk(7)}, {_risk(30)} FROM tx) SELECT trans_num, "
+    "CAST(count(*) OVER (PARTITION BY cc_num, trans_date) AS BIGINT) AS daily_trans_count, "
+    + ", ".join(f"round(CAST(ls{w} AS DOUBLE)/100,6) AS sum_amount_{w}_days, CAST(lc{w} AS BIGINT) AS count_amount_{w}_days" for w in (7, 30))
+    + ", risks.* EXCLUDE (id) FROM card JOIN risks ON trans_num = id WHERE year(ts) >= 1999",
+    "known_risk_enrich": f"""WITH {TX}, r AS (SELECT trans_num, us, merchant, {_risk(7)}, {_risk(30)} FROM tx),
+e AS (SELECT merchant AS em, us + 7*{DAY} AS known, merchant_risk_7_day_window AS r7, merchant_risk_30_day_window AS r30 FROM r
+      QUALIFY row_number() OVER (PARTITION BY merchant, us ORDER BY trans_num DESC) = 1)
+SELECT trans_num, coalesce(r7, 0) AS merchant_risk_7_day_window, coalesce(r30, 0) AS merchant_risk_30_day_window
+FROM r ASOF LEFT JOIN e ON merchant = em AND us >= known""",
+    "hex_density": f"""WITH {TX}, g AS (SELECT CAST({AGE} AS DOUBLE) AS a, ln(CAST(amt AS DOUBLE)+1) AS x FROM tx),
+b AS (SELECT min(a) AS la, (max(a)-min(a))/20 AS wa, min(x) AS lx, (max(x)-min(x))/11 AS wx FROM g),
+p AS (SELECT *, (a-la)/wa AS u, (x-lx)/wx AS v FROM g, b),
+q AS (SELECT *, pow(u-floor(u+0.5e0),2)+3*pow(v-floor(v+0.5e0),2) <= pow(u-floor(u)-0.5e0,2)+3*pow(v-floor(v)-0.5e0,2) AS f FROM p),
+c AS (SELECT *, CAST(CASE WHEN f THEN 2*floor(v+0.5e0) ELSE 2*floor(v)+1 END AS INTEGER) AS r, CAST(CASE WHEN f THEN floor(u+0.5e0) ELSE floor(u) END AS INTEGER) AS k FROM q)
+SELECT r AS "row", k AS "column", round(any_value(la+(k+CASE WHEN f THEN 0e0 ELSE 0.5e0 END)*wa),6) AS x_centre, round(any_value(lx+r/2e0*wx),6) AS y_centre, count(*) AS n
+FROM c GROUP BY r, k""",
+    "frequent_values": f"WITH {TX}, big AS (SELECT 0.001e0*count(*) AS least FROM tx), "
+    + "long AS ("
+    + " UNION ALL ".join(f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM tx" for c in ("cc_num", "merchant", "category", "job", "city", "state"))
+    + ") SELECT column_name, value, count(*) AS n FROM long WHERE value IS NOT NULL GROUP BY ALL HAVING count(*) > (SELECT least FROM big)",
+    "sketched_quantiles": f"""WITH {TX}, b AS (SELECT category, CAST(ceil(round(ln(CAST(amt AS DOUBLE)/1e-9)/ln({GAMMA}),9)) AS INTEGER)+1 AS bucket, count(*) AS n FROM tx GROUP BY ALL),
+c AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY category ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below, sum(n) OVER (PARTITION BY category) AS size FROM b),
+s AS (SELECT *, unnest([0.25e0, 0.5e0, 0.9e0, 0.99e0]) AS probability FROM c)
+SELECT category, probability, round(pow({GAMMA}, bucket-1)*1e-9*2/(1+{GAMMA}),4) AS quantile FROM s
+WHERE below <= floor(probability*(size-1)) AND floor(probability*(size-1)) < below + n""",
+    "sketched_cards": f"""WITH {TX}, h AS (SELECT CAST(date_trunc('month', ts) AS DATE) AS month, md5(CAST(cc_num AS VARCHAR)) AS d FROM tx),
+k AS (SELECT month, ('0x' || substr(d, 1, 4))::INTEGER & 4095 AS register, max(CASE WHEN ('0x' || substr(d, 5, 12))::BIGINT = 0 THEN 49 ELSE 49 - length(bin(('0x' || substr(d, 5, 12))::BIGINT)) END) AS rank
+      FROM h GROUP BY ALL),
+e AS (SELECT month, CAST(count(*) AS DOUBLE) AS used, 0.7213e0/(1+1.079e0/4096)*4096*4096/(sum(pow(2e0, -rank)) + (4096-count(*))) AS raw FROM k GROUP BY month)
+SELECT CAST(month AS VARCHAR) AS month, round(CASE WHEN raw <= 2.5e0*4096 AND used < 4096 THEN 4096*ln(4096/greatest(4096-used, 0.5e0)) ELSE raw END,4) AS estimate FROM e""",
     "card_daily_count": f"""WITH {TX} SELECT trans_num,
 CAST(count(*) OVER (PARTITION BY cc_num, trans_date) AS BIGINT) AS daily_trans_count FROM tx""",
     "sparsity": f"""WITH {TX}, nd AS (SELECT count(DISTINCT trans_date) AS d FROM tx)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ledgerglass.functions import dates, numbers
 from ledgerglass.functions.geo import with_distance
 from ledgerglass.operators import (
+    carried,
     cleaning,
     drift,
     encoders,
@@ -21,6 +22,7 @@ from ledgerglass.operators import (
     profile,
     rolling,
     running,
+    sketches,
     splits,
 )
 from ledgerglass.plans import features
@@ -193,6 +195,28 @@ def card_daily_count(spark, sf_dir):
     return out.select("trans_num", "daily_trans_count")
 
 
+@query
+def carried_windows(spark, sf_dir):
+    """Windows of 1999 to 2001, scored year by year from a state that holds the open tails only."""
+    tx = stage(with_distance(tx_sales(spark, sf_dir)).select(*carried.COLUMNS))
+    year = F.year(TS)
+    state, out = carried.begin(tx.where(year < 1999), (7, 30), 7, (7, 30)), None
+    for y in (1999, 2000, 2001):
+        made, state = carried.advance(state, tx.where(year == y), (7, 30), 7, (7, 30))
+        out = made if out is None else out.unionByName(made)
+    kinds = ("sum_amount_{}_days", "count_amount_{}_days", "merchant_num_trans_{}_day_window", "merchant_risk_{}_day_window")
+    return _rounded(out.select("trans_num", "daily_trans_count", *[k.format(w) for k in kinds for w in (7, 30)]))
+
+
+@query
+def known_risk_enrich(spark, sf_dir):
+    """The merchant's newest risk that is at least a week older than the row."""
+    tx = tx_sales(spark, sf_dir)
+    risks = ["merchant_risk_7_day_window", "merchant_risk_30_day_window"]
+    scored = stage(rolling.merchant_risk(tx, 7, (7, 30)).select("trans_num", TS, "merchant", *risks))
+    return _rounded(features.with_known_risk(scored, scored, risks, 7, ("merchant",)).select("trans_num", *risks))
+
+
 @query
 def sparsity(spark, sf_dir):
     tx = stage(tx_sales(spark, sf_dir).select("trans_num", TS, "cc_num", "merchant", "amt"))
@@ -393,6 +417,37 @@ def density2d(spark, sf_dir):
     return profile.density2d(tx, "age", "scale_amt", 20, 20)
 
 
+@query
+def hex_density(spark, sf_dir):
+    tx = tx_sales(spark, sf_dir).select(dates.age_in_years(TS, "dob").alias("age"), numbers.log_scale("amt").alias("scale_amt"))
+    return _rounded(profile.hex_density(tx, "age", "scale_amt", 20))
+
+
+@query
+def frequent_values(spark, sf_dir):
+    """Values that more than a thousandth of the rows hold, with their exact counts."""
+    tx = tx_sales(spark, sf_dir).select("cc_num", "merchant", "category", "job", "city", "state")
+    return profile.frequent_values(tx, tx.columns, 0.001)
+
+
+@query
+def sketched_quantiles(spark, sf_dir):
+    """Amounts sketched per day and category, merged to quantiles per category, each within 1 %."""
+    tx = tx_sales(spark, sf_dir).select(F.to_date(TS).alias("day"), "category", "amt")
+    daily = stage(sketches.quantile_sketch(tx, "amt", ["day", "category"]))
+    merged = stage(sketches.merge_quantiles(daily, ["category"]))
+    return _rounded(sketches.estimate_quantiles(merged, (0.25, 0.5, 0.9, 0.99), ["category"]), 4)
+
+
+@query
+def sketched_cards(spark, sf_dir):
+    """Cards sketched per day, merged to estimates per month."""
+    tx = tx_sales(spark, sf_dir).select(F.to_date(TS).alias("day"), "cc_num")
+    daily = stage(sketches.distinct_sketch(tx, "cc_num", ["day"]))
+    by_month = daily.withColumn("month", F.trunc("day", "month"))
+    return _dated(_rounded(sketches.estimate_distinct(sketches.merge_distinct(by_month, ["month"]), ["month"]), 4), "month")
+
+
 # --- row-local features ---------------------------------------------------------------------
 
 
