@@ -1,8 +1,9 @@
 """Phrase collocation mining with stripes.
 
 A stripe belongs to a prefix of 0 to 4 words and counts the words that follow it. Tasks count stripes over some
-megabytes of text; Spark merges them elementwise, entry by entry, so no stripe is ever whole in one task, however
-many words follow "the". The merged structure gives everything else:
+megabytes of text and send each as one row, its words and counts side by side. Spark brings the stripes of a prefix
+together and merges them elementwise. The stripe of a prefix that many positions share is dealt into parts by a hash of the
+next word; such prefixes are at most ``HOT`` words, so their list is bounded. The merged structure gives everything else:
 
 * an entry is the frequency of prefix + word, the extension of the prefix;
 * the total of the empty prefix's stripe is the number of words of the language;
@@ -36,6 +37,11 @@ MOST_WORDS = 5
 LEAST = 100
 FILTER_BITS = 1 << 26
 SALTS = 8
+#: a word with more than 1 / HOT of all positions is hot: its stripe, like that of the empty prefix, has PARTS parts
+HOT = 4096
+PARTS = 256
+#: texts that a task counts together
+GATHERED = 12 << 20
 
 #: 0: in a word, 1: between words, 2: between pieces
 KIND = np.zeros(256, np.uint8)
@@ -44,7 +50,8 @@ KIND[[*b".,;:!?", *range(0x0A, 0x0E)]] = 2
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
-ENTRIES = "lang string, prefix string, next string, n long"
+#: the next words are joined by blanks; an empty one has the total of the empty prefix
+STRIPES = "lang string, prefix string, part int, next string, n array<int>"
 
 
 def words_of(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray]:
@@ -82,51 +89,80 @@ def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return place, n, code
 
 
-def _entries(langs: pa.Array, prefix: list[pa.Array], last: pa.Array, n: np.ndarray) -> pa.RecordBatch:
-    joined = pc.binary_join_element_wise(*prefix, pa.scalar(" ", pa.large_string())) if prefix else pa.array([""] * len(n), pa.string())
-    columns = [langs.cast(pa.string()), joined.cast(pa.string()), last.cast(pa.string()), pa.array(n, pa.int64())]
-    return pa.RecordBatch.from_arrays(columns, names=["lang", "prefix", "next", "n"])
+def _rows(langs: pa.Array, prefix: list[pa.Array], part: np.ndarray, cuts: np.ndarray, words: pa.Array, n: np.ndarray) -> pa.RecordBatch:
+    """Stripes as rows: the words and counts between consecutive cuts."""
+    blank = pa.scalar(" ", pa.large_string())
+    joined = pc.binary_join_element_wise(*prefix, blank) if prefix else pa.array([""] * len(part), pa.string())
+    offsets = pa.array(cuts, pa.int64())
+    nexts = pc.binary_join(pa.LargeListArray.from_arrays(offsets, words), blank)
+    counts = pa.ListArray.from_arrays(offsets.cast(pa.int32()), pa.array(n, pa.int32()))
+    columns = [langs.cast(pa.string()), joined.cast(pa.string()), pa.array(part, pa.int32()), nexts.cast(pa.string()), counts]
+    return pa.RecordBatch.from_arrays(columns, names=["lang", "prefix", "part", "next", "n"])
 
 
-def _stripes(level: int, filters: list) -> callable:
-    """What a task does in pass 1, 2 or 3: the stripes of each block as rows (lang, prefix, next, n)."""
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Several batches as one, up to ``GATHERED`` bytes."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= GATHERED:
+            yield pa.Table.from_batches(held).combine_chunks()
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _stripes(level: int, filters: list, hot) -> callable:
+    """What a task does in pass 1, 2 or 3: the stripes of each block of text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = texts_of(batch.column("text"))
-            lang = pc.fill_null(batch.column("lang"), "und").dictionary_encode()
+        for table in _gathered(batches):
+            texts = texts_of(table["text"])
+            lang = pc.fill_null(table["lang"].combine_chunks(), "und").dictionary_encode()
             own = lang.indices.to_numpy().astype(np.int64)
-            for data, at, first in blocks(texts, KIND == 2):
-                yield from _block(level, filters, words_of(data, at), own, lang.dictionary, first)
+            for data, at, first in blocks(texts, KIND == 2, GATHERED):
+                yield from _block(level, filters, hot, words_of(data, at), own, lang.dictionary, first)
+            del texts, table
             release()
 
     return run
 
 
-def _block(level, filters, words, own, langs, first) -> Iterator[pa.RecordBatch]:
+def _block(level, filters, hot, words, own, langs, first) -> Iterator[pa.RecordBatch]:
     code, distinct, joined, text = words
     if not len(code):
         return
     lang, v = own[first + text], len(distinct)
     take = lambda codes: distinct.take(pa.array(codes))
+    word, start = hashes(distinct), hashes(langs)
+    dealt = (word >> np.uint64(40)).astype(np.int64) % PARTS
+
+    def sent(group, part, prefix, ends, n):
+        """Entries (of one group each) as stripes: ``prefix`` gives the words in front of the given places."""
+        order = np.lexsort((part, group))
+        group, part, ends, n = group[order], part[order], ends[order], n[order]
+        cuts = np.flatnonzero(np.concatenate([[True], (group[1:] != group[:-1]) | (part[1:] != part[:-1]), [True]])) if len(n) else np.zeros(1, np.int64)
+        heads = cuts[:-1]
+        return _rows(langs.take(pa.array(lang[ends[heads]])), prefix(ends[heads]), part[heads], cuts, take(code[ends]), n)
+
     single = lang * v + code
     if level == 1:
         place, n, _ = _counted(single)
-        yield _entries(langs.take(pa.array(lang[place])), [], take(code[place]), n)
+        yield sent(lang[place], dealt[code[place]], lambda ends: [], place, n)
         seen, n = np.unique(lang, return_counts=True)
-        yield _entries(langs.take(pa.array(seen)), [], pa.nulls(len(seen), pa.string()), n)
+        yield _rows(langs.take(pa.array(seen)), [], np.full(len(seen), -1), np.arange(len(seen) + 1), pa.array([""] * len(seen), pa.large_string()), n)
         return
-    word, start = hashes(distinct), hashes(langs)
-    bits = filters[0].value
     place, _, which = _counted(single)
-    good = passes(bits, chain(start[lang[place]], word[code[place]]))[which]
+    h = chain(start[lang[place]], word[code[place]])
+    good, wide = passes(filters[0].value, h)[which], np.isin(h, hot.value)[which]
     pair = joined.copy()
     pair[1:] &= good[1:] & good[:-1]
     at = np.flatnonzero(pair)
     if level == 2:
         place, n, _ = _counted(single[at - 1] * v + code[at])
         at = at[place]
-        yield _entries(langs.take(pa.array(lang[at])), [take(code[at - 1])], take(code[at]), n)
+        yield sent(single[at - 1], np.where(wide[at - 1], dealt[code[at]], 0), lambda ends: [take(code[ends - 1])], at, n)
         return
     h = chain(chain(start[lang[at]], word[code[at - 1]]), word[code[at]])
     at = at[passes(filters[1].value, h)]
@@ -139,17 +175,19 @@ def _block(level, filters, words, own, langs, first) -> Iterator[pa.RecordBatch]
         if not len(at):
             return
         place, n, which = _counted(grams[at - 1] * v + code[at])
+        ends = at[place]
+        part = np.where(wide[ends - size + 1], dealt[code[ends]], 0)
+        yield sent(grams[ends - 1], part, lambda ends, size=size: [take(code[ends - k]) for k in range(size - 1, 0, -1)], ends, n)
         grams[:] = -1
         grams[at] = which
-        ends = at[place]
-        prefix = [take(code[ends - k]) for k in range(size - 1, 0, -1)]
-        yield _entries(langs.take(pa.array(lang[ends])), prefix, take(code[ends]), n)
 
 
-def _merged(entries: DataFrame, least: int) -> DataFrame:
-    """Stripes merged elementwise; entries below ``least`` go, those without a word (totals) stay."""
-    merged = entries.groupBy("lang", "prefix", "next").agg(F.sum("n").alias("n"))
-    return stage(merged.where((F.col("n") >= least) | F.col("next").isNull()))
+def _merged(stripes: DataFrame, least: int) -> DataFrame:
+    """Stripes merged elementwise where the shuffle has put them; entries below ``least`` go, totals (no word) stay."""
+    met = stripes.repartition("lang", "prefix", "part")
+    entries = met.select("lang", "prefix", "part", F.explode(F.arrays_zip(F.split("next", " ").alias("word"), F.col("n").alias("n"))).alias("x"))
+    merged = entries.groupBy("lang", "prefix", "part", F.col("x.word").alias("next")).agg(F.sum("x.n").alias("n"))
+    return stage(merged.where((F.col("n") >= least) | (F.col("next") == "")).drop("part"))
 
 
 def _filter(frequent: DataFrame, most: int):
@@ -177,15 +215,24 @@ def _filter(frequent: DataFrame, most: int):
     return spark.sparkContext.broadcast(bits)
 
 
+def _hot(words: DataFrame, totals: DataFrame):
+    """Hashes of the words that hold more than 1 / HOT of all positions; there are at most HOT."""
+    limit = totals.agg(F.coalesce(F.sum("n"), F.lit(0)) / HOT).scalar()
+    found = words.withColumn("_limit", limit).where(F.col("n") > F.col("_limit")).select("lang", "next").toArrow()
+    h = chain(hashes(found["lang"].combine_chunks()), hashes(found["next"].combine_chunks())) if found.num_rows else np.zeros(0, np.uint64)
+    return words.sparkSession.sparkContext.broadcast(h)
+
+
 def stripes(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", least: int = LEAST, filter_bits: int = FILTER_BITS) -> DataFrame:
     """(lang, prefix, next, n): the merged entries of at least ``least``, and per lang a total without a word."""
     bounded_batches(docs.sparkSession)
     texts = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-    words = _merged(texts.mapInArrow(_stripes(1, []), ENTRIES), least)
-    filters = [_filter(words.where("next IS NOT NULL"), filter_bits)]
-    pairs = _merged(texts.mapInArrow(_stripes(2, filters), ENTRIES), least)
+    words = _merged(texts.mapInArrow(_stripes(1, [], None), STRIPES), least)
+    known = words.where("next <> ''")
+    filters, hot = [_filter(known, filter_bits)], _hot(known, words.where("next = ''"))
+    pairs = _merged(texts.mapInArrow(_stripes(2, filters, hot), STRIPES), least)
     filters.append(_filter(pairs, filter_bits))
-    longer = _merged(texts.mapInArrow(_stripes(3, filters), ENTRIES), least)
+    longer = _merged(texts.mapInArrow(_stripes(3, filters, hot), STRIPES), least)
     return words.unionByName(pairs).unionByName(longer)
 
 
@@ -208,9 +255,9 @@ def collocations(
     phrase of at least ``share`` per cent of its frequency holds it.
     """
     entries = stripes(docs, lang_col, text_col, least, filter_bits)
-    totals = entries.where("next IS NULL").select(F.col("lang").alias("_lang"), F.col("n").alias("total"))
+    totals = entries.where("next = ''").select(F.col("lang").alias("_lang"), F.col("n").alias("total"))
     glue = F.when(F.col("prefix") == "", "").otherwise(" ")
-    grams = stage(entries.where("next IS NOT NULL").select("lang", "prefix", F.concat("prefix", glue, "next").alias("phrase"), "n"))
+    grams = stage(entries.where("next <> ''").select("lang", "prefix", F.concat("prefix", glue, "next").alias("phrase"), "n"))
     longer = grams.where("prefix <> ''")
     extended = (
         longer.select("lang", F.explode(F.array("prefix", F.expr("substr(phrase, instr(phrase, ' ') + 1)"))).alias("_held"), "n")
