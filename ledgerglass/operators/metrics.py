@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ledgerglass.functions.numbers import ratio, round_half_even
 from ledgerglass.operators.running import rank_within, running_totals
+from ledgerglass.operators.skew import join_salted
+from ledgerglass.sources.stage import stage
 
 
 def score_curve(
@@ -69,7 +71,9 @@ def _top_rows(
     ranked = rank_within(df, keys, place, "_rank").withColumn("_rank", F.col("_rank") + 1)
     if k is not None:
         return ranked.where(F.col("_rank") <= k)
-    return ranked.join(own, list(keys)).where(F.col("_rank") <= F.col("n_fraud"))
+    named = {c: f"_own_{c}" for c in keys}
+    joined = join_salted(ranked, own.drop("n_rows").withColumnsRenamed(named), named, counts=own)
+    return joined.where(F.col("_rank") <= F.col("n_fraud"))
 
 
 def precision_top_k_by_day(
@@ -87,8 +91,9 @@ def precision_top_k_by_day(
     """
     keys = [*groups, date]
     total = F.sum(F.col(label).cast("bigint"))
-    frauds = df.groupBy(*keys).agg(total.alias("n_fraud"))
-    top = _top_rows(df.select(*keys, row_id, label, score), keys, k, row_id, score, frauds)
+    own = stage(df.groupBy(*keys).agg(total.alias("n_fraud"), F.count("*").alias("n_rows")))
+    frauds = own.drop("n_rows")
+    top = _top_rows(df.select(*keys, row_id, label, score), keys, k, row_id, score, own)
     hits = top.groupBy(*keys).agg(total.alias("n_detected"))
     share = ratio("n_detected", "n_fraud") if k is None else F.col("n_detected") / F.lit(k)
     return (
@@ -112,7 +117,7 @@ def detected_top_k(
     """
     own = None
     if k is None:
-        own = df.groupBy(date).agg(F.sum(F.col(label).cast("bigint")).alias("n_fraud"))
+        own = stage(df.groupBy(date).agg(F.sum(F.col(label).cast("bigint")).alias("n_fraud"), F.count("*").alias("n_rows")))
     top = _top_rows(df.select(date, row_id, label, score), [date], k, row_id, score, own)
     return top.where(F.col(label) == 1).select(date, row_id)
 

@@ -56,17 +56,24 @@ def join_per_key(df: DataFrame, table: DataFrame, key: str, hot: DataFrame | Non
 
 
 def join_salted(
-    left: DataFrame, right: DataFrame, on: Mapping[str, str], how: str = "inner", max_rows: int = MAX_ROWS_PER_KEY
+    left: DataFrame,
+    right: DataFrame,
+    on: Mapping[str, str],
+    how: str = "inner",
+    max_rows: int = MAX_ROWS_PER_KEY,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Join on equal columns (left name: right name, dropped) where a key may hold a large part of the left rows.
 
     Rows of a key with more than ``max_rows`` are dealt over several tasks, and each of them gets a copy of the
     key's right rows. The list of such keys has at most rows / ``max_rows`` entries, which bounds its broadcast.
-    ``how`` is inner, left, left_semi or left_anti.
+    ``how`` is inner, left, left_semi or left_anti. ``counts`` is a table of ``n_rows`` per key, if the caller has one;
+    without it the left rows are read once more to count them.
     """
     names = list(on)
-    counted = left.groupBy(*names).agg(F.count("*").alias("_n")).where(F.col("_n") > max_rows)
-    found = counted.select(*[F.col(c).alias(f"_hot_{c}") for c in names], F.ceil(F.col("_n") / max_rows).cast("int").alias("_parts")).collect()
+    counts = left.groupBy(*names).agg(F.count("*").alias("n_rows")) if counts is None else counts
+    parts = F.ceil(F.col("n_rows") / max(max_rows, 1)).cast("int").alias("_parts")
+    found = counts.where(F.col("n_rows") > max_rows).select(*[F.col(c).alias(f"_hot_{c}") for c in names], parts).collect()
     same = reduce(and_, [F.col(a) == F.col(b) for a, b in on.items()])
     if not found:
         return left.join(right, same, how).drop(*on.values())
