@@ -22,14 +22,35 @@ tx AS (SELECT *, ((trans_num % 99991)*104729 % 1000 + is_fraud*300)/1.3e3 AS sco
               CAST(make_timestamp(us) AS DATE) AS trans_date,
               CAST(round(amt*100) AS BIGINT) AS cents FROM tx0)"""
 
-# ellipsoidal distance in miles
-GEO = """geo1 AS (SELECT *, atan((1-1/298.257223563)*tan(radians(lat))) AS b1,
-                atan((1-1/298.257223563)*tan(radians(merch_lat))) AS b2 FROM tx),
-geo2 AS (SELECT *, 2*asin(sqrt(least(1.0, pow(sin((b2-b1)/2),2)
-                + cos(b1)*cos(b2)*pow(sin((radians(merch_long)-radians(long))/2),2)))) AS sg FROM geo1),
-geo AS (SELECT * EXCLUDE (b1, b2, sg), CASE WHEN sg = 0 THEN 0.0 WHEN sg <= 3.1 THEN
-   6378137.0*(sg - (1/298.257223563)/2*((sg-sin(sg))*pow(sin((b1+b2)/2)*cos((b2-b1)/2)/cos(sg/2),2)
-                            +(sg+sin(sg))*pow(cos((b1+b2)/2)*sin((b2-b1)/2)/sin(sg/2),2)))/1609.344 ELSE 6378137.0*(1-1/298.257223563/3)*sg/1609.344 END AS distance FROM geo2)"""
+F_ = "(1e0/298.257223563e0)"
+
+
+def _geo() -> str:
+    """Ellipsoidal distance in miles: five steps of the equation for the longitude on the sphere (near-antipodal pairs, which the tables lack, give null)."""
+    ctes = [
+        f"geo0 AS (SELECT trans_num AS gid, atan((1-{F_})*tan(radians(lat))) AS b1, atan((1-{F_})*tan(radians(merch_lat))) AS b2, abs(radians(merch_long)-radians(long)) AS span, lat = merch_lat AND long = merch_long AS same FROM tx)",
+        "geo1 AS (SELECT *, sin(b1) AS s1, cos(b1) AS c1, sin(b2) AS s2, cos(b2) AS c2, span AS lam FROM geo0)",
+    ]
+    last = "geo1"
+    for i in range(5):
+        ctes.append(
+            f"ga{i} AS (SELECT gid, same, span, s1, c1, s2, c2, lam AS was, sqrt(pow(c2*sin(lam),2)+pow(c1*s2-s1*c2*cos(lam),2)) AS ss, s1*s2+c1*c2*cos(lam) AS cs, c1*c2*sin(lam) AS pr FROM {last})"
+        )
+        ctes.append(f"gb{i} AS (SELECT *, atan2(ss, cs) AS arc, CASE WHEN ss = 0 THEN 0e0 ELSE pr/ss END AS az FROM ga{i})")
+        ctes.append(f"gc{i} AS (SELECT *, CASE WHEN 1-az*az <= 0 THEN 0e0 ELSE cs-2*s1*s2/(1-az*az) END AS mid, {F_}/16*(1-az*az)*(4+{F_}*(4-3*(1-az*az))) AS c FROM gb{i})")
+        ctes.append(f"gd{i} AS (SELECT *, span+(1-c)*{F_}*az*(arc+c*ss*(mid+c*cs*(2*mid*mid-1))) AS lam FROM gc{i})")
+        last = f"gd{i}"
+    minor = f"(6378137e0*(1-{F_}))"
+    ctes += [
+        f"ge AS (SELECT *, (1-az*az)*((6378137e0*6378137e0-{minor}*{minor})/({minor}*{minor})) AS u FROM {last})",
+        "gf AS (SELECT *, 1+u/16384*(4096+u*(u*(320-175*u)-768)) AS ka, u/1024*(256+u*(u*(74-47*u)-128)) AS kb FROM ge)",
+        f"gg AS (SELECT gid, CASE WHEN same THEN 0e0 WHEN abs(lam-was) < 1e-11 AND lam < pi() THEN {minor}*ka*(arc-kb*ss*(mid+kb/4*(cs*(2*mid*mid-1)-kb/6*mid*(4*ss*ss-3)*(4*mid*mid-3))))/1609.344e0 END AS distance FROM gf)",
+        "geo AS (SELECT tx.*, distance FROM tx JOIN gg ON trans_num = gid)",
+    ]
+    return ",\n".join(ctes)
+
+
+GEO = _geo()
 
 DAY = 86_400_000_000
 WINDOWS = (7, 30, 90)

@@ -6,11 +6,14 @@ engines show the same values.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerglass.functions import dates, numbers
 from ledgerglass.functions.geo import with_distance
 from ledgerglass.operators import (
+    boosting,
     carried,
     cleaning,
     drift,
@@ -716,16 +719,20 @@ def _model_rows(spark, sf_dir):
     return stage(rows)  # every fit reads the rows many times
 
 
-def _manifest(rows):
-    return splits.split_manifest(rows, freq=365, rolling_window=365, gap=30, val_duration=365)
+def _all_inputs(spark, sf_dir):
+    """The rows of the training build and the names of its 68 model inputs."""
+    tx, listed = stage(tx_sales(spark, sf_dir).drop("score")), gaz(spark, sf_dir)
+    rows = stage(features.build_features(tx, listed, features.fit(tx, listed)).withColumn("trans_date", F.to_date(TS)))
+    return rows, feature_columns(rows)
 
 
 @query
 def gbt_scores(spark, sf_dir):
-    rows = _model_rows(spark, sf_dir)
-    train, later = (rows.where(F.col(TS) < "1999-01-01"), rows.where(F.col(TS) >= "1999-02-01"))
-    model = models.fit_model(models.boosted_trees(trees=20), train, MODEL_FEATURES, pos_weight=50.0)
-    return models.predict(model, later, MODEL_FEATURES).select("trans_num", "is_fraud", "predictions")
+    """100 trees over all 68 inputs, fitted before 1999 and applied from February on."""
+    rows, inputs = _all_inputs(spark, sf_dir)
+    settings = boosting.Settings(trees=100, depth=3, pos_weight=50.0, l2=0.1)
+    model = boosting.fit(rows.where(F.col(TS) < "1999-01-01"), inputs, settings)
+    return model.predict(rows.where(F.col(TS) >= "1999-02-01")).select("trans_num", "is_fraud", "predictions")
 
 
 @query
@@ -733,30 +740,41 @@ def rf_importance(spark, sf_dir):
     return models.feature_importance(_model_rows(spark, sf_dir), MODEL_FEATURES, 5)
 
 
+def _means(values):
+    """Mean and deviation over the splits, and the number of splits, per setting."""
+    return values.groupBy("summary", "dataset", "metric").agg(
+        F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"), F.count("*").alias("n_splits")
+    )
+
+
 @query
 def rolling_eval(spark, sf_dir):
-    rows = _model_rows(spark, sf_dir)
-    folds = models.evaluate_splits(
-        rows, _manifest(rows), models.boosted_trees(trees=5, depth=3), MODEL_FEATURES, (50,), pos_weight=50.0
-    )
-    return models.evaluation_summary(folds)
+    """100 trees on all 68 inputs for every 90-day point of the table."""
+    rows, inputs = _all_inputs(spark, sf_dir)
+    settings = {"default": boosting.Settings(trees=100, depth=3, pos_weight=50.0, l2=0.1)}
+    return _means(boosting.evaluate_splits(rows, splits.split_manifest(rows), settings, inputs, (100,), bins=32))
 
 
 @query
 def param_sweep(spark, sf_dir):
-    rows = _model_rows(spark, sf_dir)
-    settings = {
-        f"weight {w:g}, depth {d}": (models.boosted_trees(trees=3, depth=d), w) for w, d in ((50.0, 2), (200.0, 3))
-    }
-    return models.evaluation_summary(models.sweep(rows, _manifest(rows), settings, MODEL_FEATURES, (50,)))
+    """Five L2 values and five positive weights on all 68 inputs, for every 360-day point."""
+    rows, inputs = _all_inputs(spark, sf_dir)
+    base = boosting.Settings(trees=20, depth=3, l2=0.1)
+    settings = {f"l2 {x:g}": replace(base, l2=x, pos_weight=50.0) for x in (0.01, 0.1, 1.0, 10.0, 100.0)}
+    settings |= {f"weight {x:g}": replace(base, pos_weight=x) for x in (1.0, 10.0, 50.0, 100.0, 200.0)}
+    manifest = splits.split_manifest(rows, freq=360, rolling_window=360)
+    return _means(boosting.evaluate_splits(rows, manifest, settings, inputs, (100,), bins=32))
 
 
 @query
 def grid_search(spark, sf_dir):
-    rows = _model_rows(spark, sf_dir)
+    """Four positive weights around the imbalance, three folds."""
+    rows, inputs = _all_inputs(spark, sf_dir)
     ratio = profile.imbalance(rows).first().imbalance_ratio
-    weights = (ratio - 2, ratio, ratio + 2, 2 * ratio)
-    return models.grid_search(rows, models.boosted_trees(trees=3, depth=3), MODEL_FEATURES, weights)
+    base = boosting.Settings(trees=20, depth=4, l2=0.1)
+    settings = {f"{w:.3f}": replace(base, pos_weight=w) for w in (ratio - 2, ratio, ratio + 2, 2 * ratio)}
+    found = boosting.cross_validate(rows, settings, inputs, bins=32)
+    return found.select(F.col("summary").cast("double").alias("pos_weight"), "f1_score")
 
 
 # --- whole build -----------------------------------------------------------------------------
