@@ -3,7 +3,7 @@
 Four sources are combined as a Bayesian product: the likelihood of the text under byte 4-gram models, the
 declared language, the country suffix of the address, and a prior of the host. The prior is smoothed along
 host, domain and all rows, from sums of the posteriors that the other three give (grouped
-aggregations); a row's own share is taken out of its host's sums, so no row votes for itself.
+aggregations); a row's own share is taken out at each level, so no row votes for itself.
 
 The text models are fitted on a bounded sample: the ``sample`` rows with the smallest hash of their id, labelled by
 what they declare. Everything else covers all rows. A text's evidence is scaled to at most ``EVIDENCE`` 4-grams,
@@ -33,7 +33,6 @@ from ledgerglass.sources.stage import stage
 
 BITS = 15
 SAMPLE = 2000
-MOST_LANGUAGES = 64
 EVIDENCE = 60.0
 #: Chance that a declared language is right, weight of a country suffix, strength of the priors, least posterior.
 DECLARED_RIGHT = 0.9
@@ -90,8 +89,8 @@ def fit(rows: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
 
     texts = labelled.join(F.broadcast(chosen.select("id").distinct()), "id", "left_semi").select("declared", "text")
     sums = texts.mapInArrow(count, schema).groupBy("declared", "bucket").agg(F.sum("n").alias("n")).toPandas()
-    totals = sums.groupby("declared")["n"].sum().sort_values(ascending=False)
-    names = sorted(totals.index[:MOST_LANGUAGES])
+    totals = sums.groupby("declared")["n"].sum()
+    names = sorted(totals.index)  # at most ``sample`` labels
     table = np.zeros((len(names), 1 << BITS))
     for i, name in enumerate(names):
         own = sums[sums["declared"] == name]
@@ -175,19 +174,26 @@ def identify(docs: DataFrame, id_col: str, text: Column, declared: Column, host:
             "host",
             "n_rows",
             "sums",
-            F.array(*[(F.col("above")[i] + STRENGTH * UNIT * base[i]) / (_total(F.col("above")) + STRENGTH * UNIT) for i in range(k)]).alias("upper"),
+            "above",
         )
     )
     # Hosts with over a thousandth of the rows, a thousand at most, meet their rows by broadcast; the others in a shuffle.
     n_rows = priors.agg(F.sum("n_rows")).first()[0] or 0
-    heavy = priors.where(F.col("n_rows") > n_rows / 1000).select("domain", "host", "sums", "upper")
+    heavy = priors.where(F.col("n_rows") > n_rows / 1000).select("domain", "host", "sums", "above")
     heavy_keys = heavy.select("domain", "host")
     light = scored.join(F.broadcast(heavy_keys), ["domain", "host"], "left_anti")
-    joined = scored.join(F.broadcast(heavy), ["domain", "host"]).unionByName(light.join(priors.select("domain", "host", "sums", "upper"), ["domain", "host"], "left"))
-    # The upper level keeps the row's own share; its weight there is at most one row in STRENGTH.
-    least = lambda i: F.greatest(F.col("sums")[i] - F.col("share")[i], F.lit(0))
-    others = F.greatest(_total(F.col("sums")) - _total(F.col("share")), F.lit(0.0))
-    prior = [F.coalesce((least(i) + STRENGTH * UNIT * F.col("upper")[i]) / (others + STRENGTH * UNIT), F.lit(base[i])) for i in range(k)]
+    joined = scored.join(F.broadcast(heavy), ["domain", "host"]).unionByName(light.join(priors.select("domain", "host", "sums", "above"), ["domain", "host"], "left"))
+    # At every level the row's own share is taken out; rows without a host are in no sum.
+    own = lambda i: F.col("share")[i]
+    mine = _total(F.col("share"))
+    rest = lambda sums, i: F.greatest(sums - own(i), F.lit(0))
+    strength = STRENGTH * UNIT
+    prior = []
+    for i in range(k):
+        everywhere = (rest(F.lit(whole[i]), i) + UNIT) / (F.greatest(F.lit(float(sum(whole))) - mine, F.lit(0.0)) + k * UNIT)
+        domain_wide = (rest(F.col("above")[i], i) + strength * everywhere) / (F.greatest(_total(F.col("above")) - mine, F.lit(0.0)) + strength)
+        here = (rest(F.col("sums")[i], i) + strength * domain_wide) / (F.greatest(_total(F.col("sums")) - mine, F.lit(0.0)) + strength)
+        prior.append(F.coalesce(here, F.lit(base[i])))
     fused = joined.withColumn("fused", F.array(*[F.exp(F.col("logs")[i]) * prior[i] for i in range(k)]))
     labels = F.array(*[F.lit(n) for n in names])
     first = lambda c: F.element_at(labels, F.array_position(c, F.array_max(c)).cast("int"))
@@ -204,9 +210,29 @@ def identify(docs: DataFrame, id_col: str, text: Column, declared: Column, host:
     )
 
 
+#: Second-level names under which country suffixes give out domains.
+SECOND_LEVEL = ("ac", "co", "com", "edu", "gov", "net", "org")
+
+
+def domain_of(host: Column) -> Column:
+    """The last two labels of a host, or three below a second-level name such as co.uk; a host without dots is its own."""
+    second = "|".join(SECOND_LEVEL)
+    found = F.regexp_extract(host, rf"([^.]+\.(?:(?:{second})\.[A-Za-z]{{2}}|[^.]+))$", 1)
+    return F.when(found != "", found).otherwise(host)
+
+
+def suffix_of(host: Column) -> Column:
+    return F.regexp_extract(host, r"\.([A-Za-z]{2})$", 1)
+
+
+def _parts_of(source: str) -> dict[str, Column]:
+    """A document's source as an address: host, domain and suffix."""
+    return {"host": F.col(source), "domain": domain_of(F.col(source)), "suffix": suffix_of(F.col(source))}
+
+
 def identify_documents(docs: DataFrame) -> DataFrame:
-    """Documents: ``lang`` is the declared language, ``source`` the host."""
-    return identify(docs, "doc_id", F.col("text"), F.col("lang"), F.col("source"))
+    """Documents: ``lang`` is the declared language, ``source`` the address."""
+    return identify(docs, "doc_id", F.col("text"), F.col("lang"), **_parts_of("source"))
 
 
 def identify_pages(pages: DataFrame) -> DataFrame:
@@ -219,12 +245,12 @@ def identify_pages(pages: DataFrame) -> DataFrame:
         inner,
         F.regexp_extract("html", r"(?i)<html[^>]*\slang=[\"']?([A-Za-z-]+)", 1),
         F.when(host != "", host),
-        F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1),
-        F.regexp_extract(host, r"\.([a-z]{2})$", 1),
+        domain_of(host),
+        suffix_of(host),
     )
 
 
 def drop_rejected(docs: DataFrame) -> DataFrame:
     """The documents whose language is known, all columns kept."""
-    found = identify(docs.withColumn("_key", row_key("doc_id", "text")), "_key", F.col("text"), F.col("lang"), F.col("source"))
+    found = identify(docs.withColumn("_key", row_key("doc_id", "text")), "_key", F.col("text"), F.col("lang"), **_parts_of("source"))
     return drop_rows(docs, found.where("rejected").select(F.col("doc_id").alias("key")))
