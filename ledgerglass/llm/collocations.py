@@ -10,7 +10,8 @@ next word; such prefixes are at most ``HOT`` words, so their list is bounded. Th
 * the greatest entry of a prefix's stripe, and of the stripes that end in the same words, tells whether a phrase
   lies in a longer one that is as frequent.
 
-Three passes over the texts: words; pairs of frequent words; phrases of 3 to 5 words all of whose pairs are frequent.
+Four passes over the texts: words; pairs of frequent words; three words whose pairs are frequent; four and five words
+all of whose threes are frequent.
 What is frequent reaches the tasks as a bit set of at most ``FILTER_BITS`` bits. A set bit may be false, which only
 counts a phrase that is dropped later; a phrase that reaches ``least`` is never missed, whatever the size of the corpus.
 
@@ -114,7 +115,7 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _stripes(level: int, filters: list, hot) -> callable:
-    """What a task does in pass 1, 2 or 3: the stripes of each block of text."""
+    """What a task does in pass 1, 2, 3 or 4: the stripes of each block of text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _gathered(batches):
@@ -164,13 +165,22 @@ def _block(level, filters, hot, words, own, langs, first) -> Iterator[pa.RecordB
         at = at[place]
         yield sent(single[at - 1], np.where(wide[at - 1], dealt[code[at]], 0), lambda ends: [take(code[ends - 1])], at, n)
         return
-    h = chain(chain(start[lang[at]], word[code[at - 1]]), word[code[at]])
-    at = at[passes(filters[1].value, h)]
-    grams = np.full(len(code), -1, np.int64)  # of the phrase that ends here, a code
+    grams = np.full(len(code), -1, np.int64)  # of the longest phrase so far that ends here, a code
+    h = np.zeros(len(code), np.uint64)
+    h[at] = chain(chain(start[lang[at]], word[code[at - 1]]), word[code[at]])
+    at = at[passes(filters[1].value, h[at])]
     if len(at):
         grams[at] = _counted(single[at - 1] * v + code[at])[2]
+    sizes = range(3, 4)
+    if level == 4:
+        at = at[grams[at - 1] >= 0]
+        at = at[passes(filters[2].value, chain(h[at - 1], word[code[at]]))]
+        which = _counted(grams[at - 1] * v + code[at])[2] if len(at) else at
+        grams[:] = -1
+        grams[at] = which
+        sizes = range(4, MOST_WORDS + 1)
     frequent = grams >= 0
-    for size in range(3, MOST_WORDS + 1):
+    for size in sizes:
         at = at[frequent[at - 1] & (grams[at - 1] >= 0)]
         if not len(at):
             return
@@ -201,15 +211,15 @@ def _filter(frequent: DataFrame, most: int):
     def slots(batches):
         for batch in batches:
             h = hashes(batch.column("lang"))
-            for name in ("prefix", "next"):
-                some = batch.column(name)
-                own = pc.not_equal(some, "").to_numpy(zero_copy_only=False)
-                h = np.where(own, chain(h, hashes(some)), h)
+            for some in batch.columns[1:]:
+                own = some.is_valid().to_numpy(zero_copy_only=False)
+                h = np.where(own, chain(h, hashes(pc.fill_null(some, ""))), h)
             slot = h & np.uint64(size - 1)
             bit = (np.uint64(1) << (slot & np.uint64(63))).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array((slot >> np.uint64(6)).astype(np.int64)), pa.array(bit)], names=["slot", "bits"])
 
-    found = frequent.select("lang", "prefix", "next").mapInArrow(slots, "slot long, bits long").groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
+    words = F.filter(F.split(F.concat_ws(" ", "prefix", "next"), " "), lambda w: w != "")
+    found = frequent.select("lang", *[F.get(words, F.lit(i)).alias(f"w{i}") for i in range(MOST_WORDS)]).mapInArrow(slots, "slot long, bits long").groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
     bits = np.zeros(size // 64, np.uint64)
     bits[found["slot"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
     return spark.sparkContext.broadcast(bits)
@@ -232,8 +242,10 @@ def stripes(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", lea
     filters, hot = [_filter(known, filter_bits)], _hot(known, words.where("next = ''"))
     pairs = _merged(texts.mapInArrow(_stripes(2, filters, hot), STRIPES), least)
     filters.append(_filter(pairs, filter_bits))
-    longer = _merged(texts.mapInArrow(_stripes(3, filters, hot), STRIPES), least)
-    return words.unionByName(pairs).unionByName(longer)
+    threes = _merged(texts.mapInArrow(_stripes(3, filters, hot), STRIPES), least)
+    filters.append(_filter(threes, filter_bits))
+    longer = _merged(texts.mapInArrow(_stripes(4, filters, hot), STRIPES), least)
+    return words.unionByName(pairs).unionByName(threes).unionByName(longer)
 
 
 def _looked_up(rows: DataFrame, phrase: str, table: DataFrame, name: str) -> DataFrame:
