@@ -145,27 +145,55 @@ def build_index(templates: tuple[tuple[str, str, str], ...] = TEMPLATES) -> Inde
     return Index(words, [(a, b) for a, b, _ in templates], least, gram[order], template[order], np.concatenate(kept)[order])
 
 
-def align(template: np.ndarray, region: np.ndarray) -> tuple[int, int, int]:
-    """(equal words, start, end in the region) of the best local alignment: 2 for equal words, -1 for each change or gap."""
+def align(template: np.ndarray, region: np.ndarray, low: int, wide: int) -> tuple[int, int, int]:
+    """(equal words, start, end in the region) of the best local alignment: 2 for equal words, -1 for each change or gap.
+
+    Word i of the template meets the region's words ``low + i`` to ``low + i + wide - 1`` only, a band of ``wide``
+    diagonals; places outside the region match nothing. The table has a row per word and a cell per diagonal.
+    """
     n, m = len(region), len(template)
-    score = np.zeros((m + 1, n + 1), np.int64)
-    step = np.arange(n + 1)
+    before, after = max(0, -low), max(0, low + m - 1 + wide - n)
+    words = np.concatenate([np.zeros(before, region.dtype), region, np.zeros(after, region.dtype)])
+    real = np.zeros(len(words), bool)
+    real[before : before + n] = True
+    shift = low + before
+    score, step = np.zeros((m + 1, wide), np.int32), np.arange(wide)
     for i in range(m):
-        pair = score[i, :-1] + np.where(region == template[i], 2, -1)
-        new = np.concatenate([[0], np.maximum(np.maximum(pair, score[i, 1:] - 1), 0)])
+        here = slice(shift + i, shift + i + wide)
+        pair = score[i] + np.where((words[here] == template[i]) & real[here], 2, -1)
+        skip = np.append(score[i, 1:] - 1, -1)
+        new = np.maximum(np.maximum(pair, skip), 0)
         score[i + 1] = np.maximum.accumulate(new + step) - step
-    i, j = (int(x) for x in np.unravel_index(int(np.argmax(score)), score.shape))
-    end, equal = j, 0
-    while i and j and score[i, j] > 0:
-        same = region[j - 1] == template[i - 1]
-        if score[i, j] == score[i - 1, j - 1] + (2 if same else -1):
-            equal += bool(same)
-            i, j = i - 1, j - 1
-        elif score[i, j] == score[i - 1, j] - 1:
+    i, d = (int(x) for x in np.unravel_index(int(np.argmax(score)), score.shape))
+    end, equal = i + d, 0
+    while i and score[i, d] > 0:
+        j = shift + i - 1 + d
+        same = bool(words[j] == template[i - 1] and real[j])
+        if score[i, d] == score[i - 1, d] + (2 if same else -1):
+            equal += same
             i -= 1
+        elif d + 1 < wide and score[i, d] == score[i - 1, d + 1] - 1:
+            i, d = i - 1, d + 1
         else:
-            j -= 1
-    return equal, j, end
+            d -= 1
+    clip = lambda x: min(max(low + x, 0), n)
+    return equal, clip(i + d), clip(end)
+
+
+def _stretches(diagonal: np.ndarray, place: np.ndarray, width: int, least: int) -> Iterator[tuple[int, int]]:
+    """Runs of one candidate's hits (by diagonal) that span at most two bands and show enough places of the template.
+
+    A phrase that a text repeats gives hits on ever new diagonals; they are cut into stretches of bounded span,
+    which overlap by a band, and a phrase alone shows too few places.
+    """
+    a = 0
+    while a < len(diagonal):
+        b = int(np.searchsorted(diagonal, diagonal[a] + 2 * width, side="right"))
+        if b - a >= least and len(np.unique(place[a:b])) >= least:
+            yield a, b
+        if b == len(diagonal):
+            return
+        a = max(a + 1, int(np.searchsorted(diagonal, diagonal[a] + width, side="right")))
 
 
 def search(words: np.ndarray, at: np.ndarray, index: Index) -> Iterator[tuple[int, int, int, int, int]]:
@@ -183,20 +211,24 @@ def search(words: np.ndarray, at: np.ndarray, index: Index) -> Iterator[tuple[in
     width = np.maximum(3, length // 8)
     diagonal = hit - at[text] - place + length[template]
     order = np.lexsort((diagonal, template, text))
-    text, template, diagonal = text[order], template[order], diagonal[order]
+    text, template, diagonal, place = text[order], template[order], diagonal[order], place[order]
     # Hits of one candidate: along the diagonals, no gap wider than the template's band.
     apart = (np.diff(text) != 0) | (np.diff(template) != 0) | (np.diff(diagonal) > width[template][1:]) if len(text) else np.zeros(0, bool)
     starts = np.flatnonzero(np.concatenate([[True], apart])) if len(text) else np.zeros(0, np.int64)
     ends = np.append(starts[1:], len(text))
     for a, b in zip(starts.tolist(), ends.tolist()):
         t, k = int(text[a]), int(template[a])
-        if b - a < index.least[k]:
-            continue
-        m, w = len(index.words[k]), int(width[k])
-        begin = max(int(at[t]), int(at[t] + diagonal[a]) - m - w)
-        stop = min(int(at[t + 1]), int(at[t] + diagonal[b - 1]) + w)
-        equal, i, j = align(index.words[k], words[begin:stop])
-        yield t, k, equal, begin + i, begin + j
+        m, w, found = len(index.words[k]), int(width[k]), []
+        for x, y in _stretches(diagonal[a:b], place[a:b], w, int(index.least[k])):
+            low, span = int(diagonal[a + x]) - m - w, int(diagonal[a + y - 1] - diagonal[a + x])
+            begin, stop = max(0, low), min(int(at[t + 1] - at[t]), low + m + span + 2 * w)
+            equal, i, j = align(index.words[k], words[at[t] + begin : at[t] + stop], low - begin, span + 2 * w + 1)
+            found.append((-equal, int(at[t]) + begin + i, int(at[t]) + begin + j))
+        kept: list[tuple[int, int, int]] = []
+        for equal, i, j in sorted(found):  # stretches overlap: of overlapping matches the one with most words counts
+            if all(j <= y or z <= i for _, y, z in kept):
+                kept.append((equal, i, j))
+                yield t, k, -equal, i, j
 
 
 def scan_licenses(docs: DataFrame, templates: tuple[tuple[str, str, str], ...] = TEMPLATES, least: float = LEAST_COVERAGE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
