@@ -21,6 +21,19 @@ SOME = [
     "precision_at_fraud_count_day",
     "ks_drift",
     "feature_table",
+    "card_gap",
+    "carried_windows",
+    "known_risk_enrich",
+    "train_risk_enrich",
+    "table_profile",
+    "frequent_values",
+    "corr_matrix_with_nulls",
+    "hex_density",
+    "sketched_quantiles",
+    "sketched_cards",
+    "geodesic",
+    "updated_gazetteer",
+    "spread_all_points",
 ]
 NAMES = sorted(entry.oracle_sql()) if os.environ.get("LEDGERGLASS_ALL_QUERIES") else SOME
 
