@@ -8,6 +8,7 @@ import public_tokenizers
 
 from ledgerglass.llm import (
     collocations,
+    conversation_packing,
     decontamination,
     exact_dedup,
     jaccard_join,
@@ -67,6 +68,12 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "loss")
 
 
+def packing_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same heuristic where all three limits bind: conversations, with loss on the assistant's turns only."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return conversation_packing.pack_conversations(turns, public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     return secret_scan.findings(docs, stage(secret_scan.scan(docs)))
@@ -109,6 +116,7 @@ QUERIES = {
         op5_maxent_lm,
         op6_exact_dedup,
         op7_packing,
+        packing_conversations,
         op8_secret_scan,
         op9_decontamination,
         op10_jaccard_join,
