@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
@@ -30,10 +31,16 @@ BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 BATCH_BYTES = 4 << 20
 
 
+def size_of(text: str) -> int:
+    """Bytes of a size as Spark writes it: 4194304, 64b, 64k, 64m, 64mb, 1g and so on."""
+    number, unit = re.fullmatch(r"\s*(\d+)\s*([kmgtp]?)b?\s*", text.lower()).groups()
+    return int(number) << 10 * " kmgtp".index(unit or " ")
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Let texts go to Python at most 4 MB at a time, unless the session has a smaller size already.
 
     Spark's own limit of 64 MB is held several times over by each task, in the JVM and in Python.
     """
-    if int(spark.conf.get(BATCH).rstrip("b")) > BATCH_BYTES:
+    if size_of(spark.conf.get(BATCH)) > BATCH_BYTES:
         spark.conf.set(BATCH, BATCH_BYTES)

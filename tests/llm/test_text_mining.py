@@ -257,3 +257,9 @@ def test_expectation_maximisation(spark):
 def test_nothing_to_learn(spark):
     df = spark.createDataFrame([], "v0 int, v1 int, n long")
     assert quality_rules.expect_maximise(df, 2) == quality_rules.start(2)
+
+
+def test_sizes_as_spark_writes_them():
+    from ledgerglass.llm.shared import size_of
+
+    assert [size_of(x) for x in ("4194304", "64b", "64k", "2KB", "64m", "1g")] == [4 << 20, 64, 64 << 10, 2 << 10, 64 << 20, 1 << 30]
