@@ -306,13 +306,14 @@ def _load(uri: str) -> Block:
         return pickle.loads(file.read_buffer())
 
 
-def _gathered(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
-    """Batches brought together until they hold ``GATHERED`` bytes."""
+def _gathered(batches: Iterator[pa.RecordBatch], column: int, files: list[str]) -> Iterator[pa.RecordBatch]:
+    """Batches brought together until they hold ``GATHERED`` bytes; as they are if one index file stays loaded anyway."""
+    most = GATHERED if len(files) > 1 else 0
     held, size = [], 0
     for batch in batches:
         held.append(batch)
         size += batch.column(column).nbytes
-        if size >= GATHERED:
+        if size >= most:
             yield pa.concat_batches(held)
             held, size = [], 0
     if held:
@@ -343,7 +344,7 @@ def find_passages(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     files = write_index(items, item_col, item_text, rate)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _gathered(batches, 1):
+        for batch in _gathered(batches, 1, files):
             rows = list(_scanned(batch, 1, files))
             if rows:
                 where, *rest = zip(*rows, strict=True)
@@ -368,7 +369,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text",
     where = docs.columns.index(text_col)
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _gathered(batches, where):
+        for batch in _gathered(batches, where, files):
             keep = np.ones(batch.num_rows, bool)
             for match in _scanned(batch, where, files):
                 keep[match[0]] = False
