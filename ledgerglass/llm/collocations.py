@@ -42,7 +42,7 @@ SALTS = 8
 HOT = 4096
 PARTS = 256
 #: texts that a task counts together
-GATHERED = 12 << 20
+GATHERED = 8 << 20
 
 #: 0: in a word, 1: between words, 2: between pieces
 KIND = np.zeros(256, np.uint8)
