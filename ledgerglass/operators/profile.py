@@ -164,12 +164,34 @@ def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     return comoments.correlations(df, list(columns or numeric_columns(df)))
 
 
-def frequent_values(df: DataFrame, columns: Sequence[str], support: float = 0.05) -> DataFrame:
+def column_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column_name, value, x, known, n): each distinct value of each column as text and as a double (null unless numeric), and its count.
+
+    One scan; each task counts the values of all columns before anything is sent.
+    """
+    names, numeric = list(columns), numeric_columns(df)
+    full = (1 << len(names)) - 1  # grouping_id has one bit per name, set where the name is rolled up
+    cells = df.groupingSets([[c] for c in names], *names).agg(F.grouping_id().alias("_set"), F.count("*").alias("_n"))
+    own = {c: F.col("_set") == full ^ (1 << (len(names) - 1 - i)) for i, c in enumerate(names)}
+    pick = lambda value: F.coalesce(*[F.when(own[c], value(c)) for c in names])
+    return cells.select(
+        pick(F.lit).alias("column_name"),
+        pick(lambda c: F.col(c).cast("string")).alias("value"),
+        pick(lambda c: F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")).alias("x"),
+        pick(lambda c: F.col(c).isNotNull()).alias("known"),
+        F.col("_n").alias("n"),
+    )
+
+
+def frequent_values(df: DataFrame, columns: Sequence[str], support: float = 0.05, counts: DataFrame | None = None) -> DataFrame:
     """(column_name, value, n): every value that more than ``support`` of the rows hold, with its exact count.
 
     A heavy-hitter summary of all columns names at most ``1 / support`` candidates a column, so the candidates are
-    broadcast; a second pass counts them.
+    broadcast; a second pass counts them. With ``counts``, a staged ``column_counts``, every value is counted already.
     """
+    if counts is not None:
+        counted = counts.where(F.col("value").isNotNull()).groupBy("column_name", "value").agg(F.sum("n").alias("n"))
+        return counted.where(F.col("n") > support * df.count())
     texts = stage(df.select(*[F.col(c).cast("string").alias(c) for c in columns]))
     summary = texts.stat.freqItems(list(columns), support)
     named = lambda c: F.transform(F.col(f"`{c}_freqItems`"), lambda v: F.struct(F.lit(c).alias("_c"), v.alias("_v")))
@@ -183,16 +205,18 @@ def table_profile(df: DataFrame, approximate: bool = False, support: float = 0.0
     """Long (column_name, stat, value, text): type and counts of every column, moments and quartiles of numeric ones,
     and up to ``top`` values that more than ``support`` of the rows hold (``value`` is their count).
 
-    Exact distinct counts handle each row once per column; approximate ones take one pass.
+    Exact distinct counts, quartiles and frequent values all come from one count of every column's values; approximate
+    distinct counts need none, and then quartiles and frequent values take passes of their own.
     """
     df = stage(df)
-    distinct = F.approx_count_distinct if approximate else F.countDistinct
+    counts = None if approximate else stage(column_counts(df, df.columns))
     numeric = numeric_columns(df)
     stats = {}
     for c in df.columns:
         stats[c, "count"] = F.count(c)
         stats[c, "missing"] = F.count_if(F.col(c).isNull())
-        stats[c, "distinct"] = distinct(c)
+        if approximate:
+            stats[c, "distinct"] = F.approx_count_distinct(c)
         if c in numeric:
             x = F.col(c).cast("double")
             stats[c, "mean"], stats[c, "std"] = F.avg(x), F.stddev_samp(x)
@@ -204,12 +228,18 @@ def table_profile(df: DataFrame, approximate: bool = False, support: float = 0.0
     rows = [row(c, s, F.col(f"s{i}"), nothing.cast("string")) for i, (c, s) in enumerate(names)]
     rows += [row(c, "type", nothing.cast("double"), F.lit(t)) for c, t in df.dtypes]
     out = one.select(F.inline(F.array(*rows)))
+    if counts is not None:
+        found = counts.agg(*[F.count_if((F.col("column_name") == c) & F.col("known")).cast("double").alias(f"d{i}") for i, c in enumerate(df.columns)])
+        out = out.unionByName(found.select(F.inline(F.array(*[row(c, "distinct", F.col(f"d{i}"), nothing.cast("string")) for i, c in enumerate(df.columns)]))))
     if numeric:
         names_of = F.when(F.col("probability") == 0.25, "q1").when(F.col("probability") == 0.5, "median").otherwise("q3")
-        quartiles = quantiles_of(df, {c: (0.25, 0.5, 0.75) for c in numeric})
+        if counts is None:
+            quartiles = quantiles_of(df, {c: (0.25, 0.5, 0.75) for c in numeric})
+        else:
+            quartiles = quantiles(counts, "x", (0.25, 0.5, 0.75), ("column_name",), weight="n")
         out = out.unionByName(quartiles.select("column_name", names_of.alias("stat"), F.col("quantile").alias("value"), nothing.cast("string").alias("text")))
     place = F.row_number().over(W.partitionBy("column_name").orderBy(F.desc("n"), "value"))  # at most 1 / support rows each
-    frequent = frequent_values(df, df.columns, support).withColumn("_place", place).where(F.col("_place") <= top)
+    frequent = frequent_values(df, df.columns, support, counts).withColumn("_place", place).where(F.col("_place") <= top)
     return out.unionByName(
         frequent.select("column_name", F.concat(F.lit("frequent_"), "_place").alias("stat"), F.col("n").cast("double").alias("value"), F.col("value").alias("text"))
     )

@@ -160,3 +160,15 @@ def test_null_and_nan_scores_are_one(spark):
     assert a == b
     # as if the missing ones had the lowest score
     assert a == metrics.ranking_metrics(spark.createDataFrame(rows(-1.0), "is_fraud int, predictions double")).first().asDict()
+
+
+def test_table_profile_counts_values_once(spark, monkeypatch):
+    """Distinct counts, quartiles and frequent values come from one count; no summary pass is needed."""
+    df = spark.createDataFrame([(1, "a", 2.5), (1, None, 2.5), (2, "b", None), (None, "a", -0.5)], "i int, s string, x double")
+    counts = {(r.column_name, r.value): (r.x, r.known, r.n) for r in profile.column_counts(df, df.columns).collect()}
+    assert counts["i", "1"] == (1.0, True, 2) and counts["s", None] == (None, False, 1) and counts["x", "2.5"] == (2.5, True, 2) and len(counts) == 9
+    want = {(r.column_name, r.value): r.n for r in profile.frequent_values(df, df.columns, 0.3).collect()}
+    monkeypatch.setattr("pyspark.sql.classic.dataframe.DataFrameStatFunctions.freqItems", None)
+    got = {(r.column_name, r.stat): (r.value, r.text) for r in profile.table_profile(df, support=0.3).collect()}
+    assert {(c, t): int(v) for (c, s), (v, t) in got.items() if s.startswith("frequent")} == want
+    assert [got[c, "distinct"][0] for c in "isx"] == [2, 2, 2] and [got["x", q][0] for q in ("q1", "median", "q3")] == [1.0, 2.5, 2.5]
