@@ -199,3 +199,12 @@ def test_every_sql_has_a_query():
     assert set(ORACLE) <= set(QUERIES)
     rows_only = set(QUERIES) - set(ORACLE)
     assert rows_only == {"gbt_scores", "rf_importance", "rolling_eval", "param_sweep", "grid_search"}
+
+
+def test_forest_deals_its_rows(spark, separable, monkeypatch):
+    """A task reads a bounded number of rows, whatever the files it would read otherwise."""
+    seen, fit = [], models.fit_model
+    monkeypatch.setattr(models, "ROWS_PER_TASK", 100, raising=False)
+    monkeypatch.setattr(models, "fit_model", lambda c, df, *a: seen.append(df.rdd.getNumPartitions()) or fit(c, df, *a))
+    models.feature_importance(separable.coalesce(1), ["a", "b"], 1, trees=5)
+    assert seen == [6]
