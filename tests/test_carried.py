@@ -111,3 +111,31 @@ def test_salted_joins_equal_plain_ones(spark):
         plain = join_salted(left, right, {"k": "r"}, how)
         assert as_rows(join_salted(left, right, {"k": "r"}, how, max_rows=20)) == as_rows(plain)
         assert as_rows(plain) == as_rows(left.join(right, left.k == right.r, how).drop("r"))
+
+
+def test_asof_join_writes_its_time_line_once(spark, monkeypatch):
+    """Rows bring their columns along: one staged table, and no join of all rows back."""
+    from ledgerglass.operators import asof, running
+    from ledgerglass.sources import stage as staging
+
+    staged = []
+    counted = lambda df: staged.append(1) or staging.stage(df)
+    for module in (asof, running):
+        monkeypatch.setattr(module, "stage", counted, raising=False)
+    df = spark.createDataFrame([(1, "a", 5, "x"), (2, "a", 1, "y"), (3, None, 5, "z"), (4, "a", None, None)], "id long, k string, at long, more string")
+    ev = spark.createDataFrame([("a", 3, 1.0), ("a", 9, 2.0), (None, 1, 3.0)], "k string, at long, v double")
+    got = asof_join(df, ev, ["k"], "at", ["v"])
+    assert got.columns == ["id", "k", "at", "more", "v"] and len(staged) == 1
+    assert sorted(map(tuple, got.collect())) == [(1, "a", 5, "x", 1.0), (2, "a", 1, "y", None), (3, None, 5, "z", None), (4, "a", None, None, None)]
+
+
+def test_asof_join_by_date_and_totals_of_null_groups(spark):
+    from ledgerglass.operators import running
+
+    day = dt.date(2020, 1, 2)
+    df = spark.createDataFrame([(1, "a", day), (2, "a", None), (3, None, day)], "id long, k string, at date")
+    got = asof_join(df, spark.createDataFrame([("a", day, 1.0)], "k string, at date, v double"), ["k"], "at", ["v"])
+    assert sorted((r.id, r.v) for r in got.collect()) == [(1, 1.0), (2, None), (3, None)]
+    rows = spark.range(200).select(F.col("id").alias("o"), F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("g"), F.lit(1).cast("long").alias("x"))
+    found = running.running_totals(rows, ["g"], "o", {"s": ("sum", "x")}, ranges=8)
+    assert found.columns == ["o", "g", "x", "s"] and all(r.s == r.o // 3 for r in found.collect())
