@@ -208,3 +208,22 @@ def test_forest_deals_its_rows(spark, separable, monkeypatch):
     monkeypatch.setattr(models, "fit_model", lambda c, df, *a: seen.append(df.rdd.getNumPartitions()) or fit(c, df, *a))
     models.feature_importance(separable.coalesce(1), ["a", "b"], 1, trees=5)
     assert seen == [6]
+
+
+def test_shuffles_carry_raw_rows(spark):
+    """Merchants' windows come below the cards', row-local features above both, and training risks join rows that are not built yet."""
+    df, gaz = stage(_transactions(spark)), _gaz(spark)
+    fitted = features.fit(df, gaz)
+    spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
+    built = features.build_features(df, gaz, fitted, (1, 7))
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+    plan = lambda d: [x.strip(" :+-") for x in d._jdf.queryExecution().optimizedPlan().toString().splitlines()]
+    lines = plan(built)
+    windows = [i for i, x in enumerate(lines) if x.startswith("Window ")]
+    assert "[merchant#" in lines[windows[-1]] and "[merchant#" not in lines[windows[0]]
+    assert not any("age_group" in x or "job_encoded" in x for x in lines[windows[0] :])
+    served = features.build_serving_features(df, stage(built), gaz, fitted, (1, 7))
+    lines = plan(served)
+    joined = [i for i, x in enumerate(lines) if x.startswith("Join ") and "_lat#" in x]
+    assert joined and joined[0] > max(i for i, x in enumerate(lines) if x.startswith("Window "))
+    assert served.columns[-2:] == ["merchant_risk_1_day_window", "merchant_risk_7_day_window"] and not any(c.startswith("_") for c in served.columns)
